@@ -24,9 +24,12 @@ def _col(c: ColumnOrName) -> Column:
 
 def transliterate(c: ColumnOrName) -> Column:
     """Latin letters with marks, ligatures and sharp s to ASCII."""
-    out = _col(c)
+    c = _col(c)
+    out = c
     for src, dst in MULTI.items():
         out = F.replace(out, F.lit(src), F.lit(dst))
+    # the replace chain runs only on the rare strings holding such a letter
+    out = F.when(c.rlike("[" + "".join(MULTI) + "]"), out).otherwise(c)
     src = "".join(SINGLE.keys())
     dst = "".join(SINGLE.values())
     return F.translate(out, src, dst)

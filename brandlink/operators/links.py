@@ -7,8 +7,10 @@ from collections.abc import Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from ..session import cut_lineage
 from .catalog import symmetric_closure
 
 KEYS = ["left_side", "right_side"]
@@ -49,7 +51,7 @@ def _tokens(p: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.split(p, " +"), lambda x: x != "")))
 
 
-@pandas_udf("int")
+@pandas_udf(T.IntegerType())
 def _ratio3(need: pd.Series, sect: pd.Series, c12: pd.Series, c21: pd.Series) -> pd.Series:
     """Max of the three character ratios (stdlib ``difflib``), each
     ``round(100 * r)`` half to even; equal strings 100, an empty one 0.
@@ -124,9 +126,9 @@ def pair_features(base: DataFrame, others: Mapping[str, DataFrame],
     """L3: candidate pairs (base similarity > ``min_similarity``, self pairs
     out), the other similarities of exactly those pairs (J1, 0 when absent,
     X7), and the token-set ratio (L2)."""
-    cand = (base.where(F.col(base_column) > min_similarity)
-            .where(F.col("left_side") != F.col("right_side"))
-            .select(*KEYS, base_column))
+    cand = cut_lineage(base.where(F.col(base_column) > min_similarity)
+                       .where(F.col("left_side") != F.col("right_side"))
+                       .select(*KEYS, base_column))
     out = pair_cosines(cand, others) if others else cand
     if with_ratio:
         out = with_token_set_ratio(out)

@@ -14,7 +14,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 EPS = 1e-9
+# similarities are compared with the threshold at this precision, so exact
+# ties (rational cosines such as 0.5) do not depend on summation order
+CMP_DIGITS = 9
+
+
+def at_least(c, t: float):
+    return F.round(c, CMP_DIGITS) >= t
 
 
 def _with_suffix_norm(weights: DataFrame) -> DataFrame:
@@ -60,12 +69,14 @@ def cosine_pairs(weights: DataFrame, min_similarity: float, symmetric: bool = Fa
     """
     if min_similarity <= 0:
         raise ValueError("a positive threshold is required (all pairs would be n^2)")
+    # read four times below: materialise once (reliable checkpoint)
+    weights = cut_lineage(weights.select("name", "term", "w"))
     lw = weights.select(F.col("name").alias("left_side"), "term", F.col("w").alias("wl"))
     rw = weights.select(F.col("name").alias("right_side"), "term", F.col("w").alias("wr"))
     cand = candidate_pairs(weights, min_similarity)
     sims = (cand.join(lw, "left_side").join(rw, ["right_side", "term"])
             .groupBy("left_side", "right_side").agg(F.sum(F.col("wl") * F.col("wr")).alias("s"))
-            .where(F.col("s") >= min_similarity))
+            .where(at_least(F.col("s"), min_similarity)))
     out = sims
     if symmetric:
         out = out.unionByName(sims.select(F.col("right_side").alias("left_side"),
@@ -74,7 +85,7 @@ def cosine_pairs(weights: DataFrame, min_similarity: float, symmetric: bool = Fa
         diag = weights.groupBy("name").agg(F.sum(F.col("w") * F.col("w")).alias("s"))
         out = out.unionByName(diag.select(F.col("name").alias("left_side"),
                                           F.col("name").alias("right_side"), "s")
-                              .where(F.col("s") >= min_similarity))
+                              .where(at_least(F.col("s"), min_similarity)))
     val = F.round("s", round_to) if round_to is not None else F.col("s")
     return out.select("left_side", "right_side", val.alias(column))
 

@@ -56,8 +56,8 @@ def zfill(e: str, width: int = 13) -> str:
 def char_ngrams(e: str, lo: int = 2, hi: int = 5) -> str:
     """List of n-grams of ``e``; use with unnest."""
     return (f"CASE WHEN length({e}) >= {lo} THEN flatten(list_transform("
-            f"range({lo}, least({hi}, length({e})) + 1), n -> list_transform("
-            f"range(1, length({e}) - n + 2), i -> substr({e}, i, n)))) "
+            f"range({lo}, least({hi}, length({e})) + 1), lambda n: list_transform("
+            f"range(1, length({e}) - n + 2), lambda i: substr({e}, i, n)))) "
             f"ELSE []::VARCHAR[] END")
 
 
@@ -67,7 +67,7 @@ STOP_SQL = "[" + ", ".join(q(w) for w in dict.fromkeys(STOPWORDS)) + "]"
 def word_tokens(e: str, stop: bool = True) -> str:
     toks = f"regexp_extract_all(lower({e}), '\\b([a-z]{{2,}})\\b', 1)"
     if stop:
-        toks = f"list_filter({toks}, w -> NOT list_contains({STOP_SQL}, w))"
+        toks = f"list_filter({toks}, lambda w: NOT list_contains({STOP_SQL}, w))"
     return toks
 
 
@@ -163,7 +163,7 @@ def cosine_pairs_sql(weights: str, min_similarity: float, symmetric: bool = True
             f"FROM {weights} a JOIN {weights} b ON a.term = b.term "
             f"WHERE {cond} GROUP BY a.name, b.name")
     return (f"SELECT left_side, right_side, round(s, {R6}) AS {column} FROM ({base}) "
-            f"WHERE s >= {min_similarity}")
+            f"WHERE round(s, 9) >= {min_similarity}")
 
 
 def pair_cosine_sql(pairs: str, weights: str, column: str) -> str:
