@@ -152,3 +152,78 @@ sql("O3_top_k_partners", W(extra=NG) + f" SELECT left_side, right_side, similari
     f"right_side) AS rn FROM ({_sg})) WHERE rn <= 3")
 sql("V14_top_distinct_pairs", W(extra=NG) + f" SELECT * FROM ({_sg}) WHERE left_side < right_side "
     f"AND similarity_sg < 0.999999 ORDER BY similarity_sg DESC, left_side, right_side LIMIT 10")
+
+# ----------------------------------------------------- pair features, evidence
+ALL_W = (NG + ", " + WD.replace(NAMES + ", ", "") + ", " + EMB.replace(NAMES + ", ", "") + ", "
+         + CAT.replace(NAMES + ", ", "") + ", "
+         + CATW.replace(NAMES + ", ", "").replace(
+             "bp AS (SELECT DISTINCT product_id, brand_desc_slug AS name FROM gold), ", ""))
+_SIMS = [("similarity_sgWords", "wd_w"), ("similarity_st", "emb_w"),
+         ("similarity_nomenclature", "cat_w"), ("similarity_nomenclatureWords", "cw_w")]
+_SG_SYM = ("SELECT left_side, right_side, s AS similarity_sg FROM (SELECT a.name AS left_side, "
+           "b.name AS right_side, sum(a.w * b.w) AS s FROM ng_w a JOIN ng_w b ON a.term = b.term "
+           "WHERE a.name <> b.name GROUP BY a.name, b.name) WHERE round(s, 9) >= {t}")
+FEAT = (ALL_W + ", cand AS (SELECT * FROM (" + _SG_SYM.format(t=0.2) + ") WHERE similarity_sg > 0.2), "
+        + ", ".join(f"f_{k} AS ({o.pair_cosine_sql('cand', w, k)})" for k, w in _SIMS)
+        + ", feat AS (SELECT cand.left_side, cand.right_side, cand.similarity_sg, "
+        + ", ".join(f"f_{k}.{k}" for k, _ in _SIMS) + " FROM cand "
+        + " ".join(f"JOIN f_{k} USING (left_side, right_side)" for k, _ in _SIMS) + ")")
+_ALL_SIMS = ["similarity_sg"] + [k for k, _ in _SIMS]
+sql("L3_C11_J1_pair_features", W(extra=FEAT) + " SELECT left_side, right_side, "
+    + ", ".join(f"round({c}, {R6}) AS {c}" for c in _ALL_SIMS) + " FROM feat")
+_cp = [(a, b) for i, a in enumerate(_ALL_SIMS) for b in _ALL_SIMS[i + 1:]]
+sql("A9_feature_correlation", W(extra=FEAT) + " " + " UNION ALL ".join(
+    f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, round(corr({a}, {b}), {R6}) AS corr FROM feat"
+    for a, b in _cp))
+EVID = (NG + ", sg AS (" + _SG_SYM.format(t=0.2) + "), " + LINKS + ", ev AS (SELECT left_side, "
+        "right_side, max(similarity) AS similarity FROM (SELECT left_side, right_side, "
+        "similarity_sg AS similarity FROM sg UNION ALL SELECT left_side, right_side, 1.0 FROM links) "
+        "GROUP BY left_side, right_side)")
+sql("L4_A7_merge_evidence", W(extra=EVID) + f" SELECT left_side, right_side, "
+    f"round(similarity, {R6}) AS similarity FROM ev")
+sql("C14_G3_groups_from_evidence", W(extra=EVID + ", e8 AS (SELECT left_side, right_side FROM ev "
+    "WHERE similarity >= 0.8), reach(name, other) AS (SELECT name, name FROM bn UNION "
+    "SELECT r.name, e.right_side FROM reach r JOIN e8 e ON e.left_side = r.other), "
+    "comp AS (SELECT name, min(other) AS group_id FROM reach GROUP BY name), "
+    "cnt AS (SELECT brand_desc_slug AS name, count(*) AS n_products FROM (SELECT DISTINCT "
+    "product_id, brand_desc_slug FROM gold) GROUP BY 1)", recursive=True)
+    + " SELECT name, group_id, first_value(name) OVER (PARTITION BY group_id ORDER BY "
+      "n_products DESC, length(name), name) AS canonical_name FROM comp JOIN cnt USING (name)")
+sql("G5_threshold_communities", W(extra=NG + ", e AS (SELECT left_side AS a, right_side AS b FROM ("
+    + _SG_SYM.format(t=0.5) + ") UNION SELECT name, name FROM bn), "
+    "deg AS (SELECT a, count(*) AS deg FROM e GROUP BY a)")
+    + " SELECT name, group_id FROM (SELECT e.b AS name, e.a AS group_id, row_number() OVER "
+      "(PARTITION BY e.b ORDER BY d.deg DESC, e.a) AS rn FROM e JOIN deg d USING (a)) WHERE rn = 1")
+_fn = "nullif(regexp_extract({c}, '[0-9]+', 0), '')"
+LABELS = ("lab AS (SELECT left_side, right_side, CAST(coalesce(" + _fn.format(c="left_side")
+          + " = " + _fn.format(c="right_side") + ", FALSE) AS INTEGER) AS target FROM ("
+          + _SG_SYM.format(t=0.5) + "))")
+sql("J2_labelled_pairs", W(extra=FEAT + ", " + LABELS) + f" SELECT left_side, right_side, "
+    f"round(similarity_sg, {R6}) AS similarity_sg, target FROM feat JOIN lab "
+    f"USING (left_side, right_side)")
+
+# --------------------------------------------------------- metrics
+SCORED = ("WITH scored AS (SELECT l.doc_id, l.quality AS target, d.n_chars / (d.n_chars + 1500.0) "
+          "AS score FROM labels l JOIN documents d USING (doc_id)), "
+          "sp AS (SELECT *, CAST(score >= 0.5 AS INTEGER) AS predicted FROM scored)")
+sql("A8_class_histogram", "SELECT quality AS target, count(*) AS n FROM labels GROUP BY quality")
+sql("M1_stratified_split", "SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY "
+    "md5(concat_ws(chr(31), CAST(doc_id AS VARCHAR), '42'))) <= ceil(0.3 * count(*) OVER "
+    "(PARTITION BY quality)) AS is_test FROM labels")
+sql("M3_class_weights", f"SELECT doc_id, quality, round(count(*) OVER () / ((SELECT count(DISTINCT "
+    f"quality) FROM labels) * count(*) OVER (PARTITION BY quality)), {R6}) AS weight FROM labels")
+_eps = 2.220446049250313e-16
+sql("M7_log_loss", SCORED + f" SELECT round(-avg(target * ln(p) + (1 - target) * ln(1 - p)), {R6}) "
+    f"AS log_loss FROM (SELECT target, least(greatest(score, {_eps}), 1 - {_eps}) AS p FROM scored)")
+sql("M8_roc_auc", SCORED + ", rk AS (SELECT target, rank() OVER (ORDER BY score) + "
+    "(count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r FROM scored) "
+    f"SELECT round((sum(CASE WHEN target = 1 THEN r END) - sum(target) * (sum(target) + 1) / 2.0) "
+    f"/ (sum(target) * sum(1 - target)), {R6}) AS auc FROM rk")
+sql("M9_roc_curve", SCORED + ", sc AS (SELECT score, sum(target) AS pos, sum(1 - target) AS neg "
+    "FROM scored GROUP BY score), tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM sc) "
+    f"SELECT round(sum(neg) OVER w / N, {R6}) AS fpr, round(sum(pos) OVER w / P, {R6}) AS tpr, "
+    f"round(score, {R6}) AS threshold FROM sc, tot WINDOW w AS (ORDER BY score DESC ROWS BETWEEN "
+    "UNBOUNDED PRECEDING AND CURRENT ROW) UNION ALL SELECT 0.0, 0.0, 'inf'::DOUBLE")
+sql("M10_confusion", SCORED + " " + " UNION ALL ".join(
+    f"SELECT {a} AS target, {b} AS predicted, (SELECT count(*) FROM sp WHERE target = {a} AND "
+    f"predicted = {b}) AS n" for a in (0, 1) for b in (0, 1)))

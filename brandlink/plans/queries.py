@@ -263,3 +263,144 @@ def q_top_pairs(spark, sf):
     s = jobs.similarity_table(_gold(spark, sf), "similarity_sg", 0.2, include_self=False)
     return pairs.top_distinct_pairs(s.select("left_side", "right_side", _r("similarity_sg")),
                                     10, column="similarity_sg")
+
+
+# ----------------------------------------------------- pair features, evidence
+
+def _features(spark, sf, with_ratio=False):
+    return jobs.pair_feature_table(_gold(spark, sf), 0.2, with_ratio)
+
+
+SIM_COLS = ["similarity_sg", "similarity_sgWords", "similarity_st", "similarity_nomenclature",
+            "similarity_nomenclatureWords"]
+
+
+@query("L3_C11_J1_pair_features")
+def q_features(spark, sf):
+    f = _features(spark, sf)
+    return f.select("left_side", "right_side", *[_r(c) for c in SIM_COLS])
+
+
+@query("L2_token_set_ratio")
+def q_ratio(spark, sf):
+    """Token-set ratio of every candidate pair (difflib ratio: no SQL form)."""
+    f = _features(spark, sf)
+    return links.with_token_set_ratio(f.select("left_side", "right_side"))
+
+
+@query("A9_feature_correlation")
+def q_corr(spark, sf):
+    f = _features(spark, sf)
+    pairs_ = [(a, b) for i, a in enumerate(SIM_COLS) for b in SIM_COLS[i + 1:]]
+    agg = f.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs_)])
+    rows = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs_))
+    out = agg.selectExpr(f"stack({len(pairs_)}, {rows}) AS (feature_1, feature_2, corr)")
+    return out.select("feature_1", "feature_2", _r("corr"))
+
+
+def _evidence(spark, sf, variant="dirty"):
+    g = _gold(spark, sf, variant)
+    sg = jobs.similarity_table(g, "similarity_sg", 0.2, include_self=False)
+    sg = sg.withColumnRenamed("similarity_sg", "similarity")
+    lk = links.constant_score(links.same_item_links(g), 1.0)
+    return g, links.merge_evidence(sg, lk)
+
+
+@query("L4_A7_merge_evidence")
+def q_merge(spark, sf):
+    _, ev = _evidence(spark, sf)
+    return ev.select("left_side", "right_side", _r("similarity"))
+
+
+@query("C14_G3_groups_from_evidence")
+def q_groups_evidence(spark, sf):
+    g, ev = _evidence(spark, sf)
+    grp = groups.connected_components(ev, jobs.brand_names(g), 0.8)
+    counts = catalog.brand_product_counts(g).withColumnRenamed("brand_desc_slug", "name")
+    return groups.pick_identifier(grp, counts)
+
+
+@query("G5_threshold_communities")
+def q_communities(spark, sf):
+    g = _gold(spark, sf)
+    sg = jobs.similarity_table(g, "similarity_sg", 0.5, include_self=False)
+    return groups.threshold_communities(sg.withColumnRenamed("similarity_sg", "similarity"),
+                                        jobs.brand_names(g))
+
+
+def _labels(spark, sf):
+    """Labelled pairs: brand pairs with n-gram similarity >= 0.5 (both
+    directions); target 1 when both names carry the same first number."""
+    g = _gold(spark, sf)
+    sg = jobs.similarity_table(g, "similarity_sg", 0.5, include_self=False)
+    same = X.first_number("left_side") == X.first_number("right_side")
+    return sg.select("left_side", "right_side",
+                     F.coalesce(same, F.lit(False)).cast("int").alias("target"))
+
+
+@query("J2_labelled_pairs")
+def q_labelled(spark, sf):
+    f = _features(spark, sf)
+    j = f.join(_labels(spark, sf), ["left_side", "right_side"], "inner")
+    return j.select("left_side", "right_side", _r("similarity_sg"), "target")
+
+
+# --------------------------------------------------------- metrics
+
+def _scored(spark, sf):
+    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("target"))
+    doc = table(spark, sf, "documents").select("doc_id", "n_chars")
+    s = lab.join(doc, "doc_id").select(
+        "doc_id", "target", (F.col("n_chars") / (F.col("n_chars") + 1500.0)).alias("score"))
+    return s.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("A8_class_histogram")
+def q_hist(spark, sf):
+    return (table(spark, sf, "labels").groupBy(F.col("quality").alias("target"))
+            .agg(F.count("*").alias("n")))
+
+
+@query("M1_stratified_split")
+def q_split(spark, sf):
+    from ..operators.classify import stratified_split
+
+    lab = table(spark, sf, "labels").select("doc_id", "quality")
+    return stratified_split(lab, "quality", ["doc_id"], 0.3, 42)
+
+
+@query("M3_class_weights")
+def q_weights(spark, sf):
+    from ..operators.classify import class_weights
+
+    lab = table(spark, sf, "labels").select("doc_id", "quality")
+    return class_weights(lab, "quality").select("doc_id", "quality", _r("weight"))
+
+
+@query("M7_log_loss")
+def q_logloss(spark, sf):
+    from ..operators.classify import log_loss
+
+    return log_loss(_scored(spark, sf), "target", "score").select(_r("log_loss"))
+
+
+@query("M8_roc_auc")
+def q_auc(spark, sf):
+    from ..operators.classify import roc_auc
+
+    return roc_auc(_scored(spark, sf), "target", "score").select(_r("auc"))
+
+
+@query("M9_roc_curve")
+def q_roc(spark, sf):
+    from ..operators.classify import roc_curve
+
+    r = roc_curve(_scored(spark, sf), "target", "score")
+    return r.select(_r("fpr"), _r("tpr"), _r("threshold"))
+
+
+@query("M10_confusion")
+def q_confusion(spark, sf):
+    from ..operators.classify import confusion
+
+    return confusion(_scored(spark, sf), "target", "predicted")
