@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..config import FIXTURE_CONFIG, Config
 from ..functions.text import slug_compact
 from ..operators import catalog, groups, links, pairs, vectors
+from ..session import cut_lineage
 from ..sources.tables import fixture_catalogue
 
 
@@ -76,6 +77,7 @@ def pair_feature_table(gold_df: DataFrame, min_similarity: float = 0.2,
     """C11: candidate pairs (n-gram similarity > 0.2, both directions) with
     the four other similarities of exactly those pairs and the token-set
     ratio."""
+    gold_df = cut_lineage(gold_df)  # read by all five encodings
     sg = similarity_table(gold_df, "similarity_sg", min_similarity, True, False)
     others = {k: f(gold_df) for k, f in SIMILARITY_KINDS.items() if k != "similarity_sg"}
     return links.pair_features(sg, others, "similarity_sg", min_similarity, with_ratio)

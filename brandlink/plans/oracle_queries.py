@@ -197,7 +197,7 @@ sql("G5_threshold_communities", W(extra=NG + ", e AS (SELECT left_side AS a, rig
 _fn = "nullif(regexp_extract({c}, '[0-9]+', 0), '')"
 LABELS = ("lab AS (SELECT left_side, right_side, CAST(coalesce(" + _fn.format(c="left_side")
           + " = " + _fn.format(c="right_side") + ", FALSE) AS INTEGER) AS target FROM ("
-          + _SG_SYM.format(t=0.5) + "))")
+          + _SG_SYM.format(t=0.2) + ") WHERE similarity_sg > 0.2)")
 sql("J2_labelled_pairs", W(extra=FEAT + ", " + LABELS) + f" SELECT left_side, right_side, "
     f"round(similarity_sg, {R6}) AS similarity_sg, target FROM feat JOIN lab "
     f"USING (left_side, right_side)")

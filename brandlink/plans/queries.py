@@ -329,13 +329,18 @@ def q_communities(spark, sf):
 
 
 def _labels(spark, sf):
-    """Labelled pairs: brand pairs with n-gram similarity >= 0.5 (both
-    directions); target 1 when both names carry the same first number."""
+    """Labelled pairs: candidate brand pairs (n-gram similarity > 0.2, both
+    directions) with the fixture's labelling rule (see ``pair_target``)."""
     g = _gold(spark, sf)
-    sg = jobs.similarity_table(g, "similarity_sg", 0.5, include_self=False)
+    sg = jobs.similarity_table(g, "similarity_sg", 0.2, include_self=False)
+    sg = sg.where(F.col("similarity_sg") > 0.2)
+    return sg.select("left_side", "right_side", pair_target().alias("target"))
+
+
+def pair_target():
+    """Fixture label: 1 when both names carry the same first number."""
     same = X.first_number("left_side") == X.first_number("right_side")
-    return sg.select("left_side", "right_side",
-                     F.coalesce(same, F.lit(False)).cast("int").alias("target"))
+    return F.coalesce(same, F.lit(False)).cast("int")
 
 
 @query("J2_labelled_pairs")
@@ -404,3 +409,101 @@ def q_confusion(spark, sf):
     from ..operators.classify import confusion
 
     return confusion(_scored(spark, sf), "target", "predicted")
+
+
+# ------------------------------------------------------------ models
+
+def _train_test(spark, sf):
+    """Labelled candidate pairs with all six features, balanced weights and
+    an exact stratified 70/30 split; materialised once (reliable checkpoint)."""
+    from ..operators.classify import class_weights, stratified_split
+    from ..session import cut_lineage
+
+    # the label set covers every candidate pair, so the inner join with it
+    # (J2) is the feature table with the rule's target
+    f = _features(spark, sf, with_ratio=True)
+    data = f.withColumn("target", pair_target()).fillna(0)
+    data = stratified_split(class_weights(data, "target"), "target",
+                            ["left_side", "right_side"], 0.3, 42)
+    data = cut_lineage(data)
+    return data.where(~F.col("is_test")), data.where(F.col("is_test"))
+
+
+RF_FEATURES = ["similarity_sg", "similarity_sgWords", "similarity_st",
+               "similarity_nomenclatureWords", "token_set_ratio"]
+
+
+@query("M4_M6_M21_random_forest")
+def q_rf(spark, sf):
+    from ..operators.classify import random_forest, score
+
+    train, test = _train_test(spark, sf)
+    model = random_forest(RF_FEATURES, num_trees=100, max_depth=20).fit(train)
+    out = score(model, test, ["left_side", "right_side", "target"])
+    return out.select("left_side", "right_side", "target", "target_predicted",
+                      _r("proba_0"), _r("proba_1"))
+
+
+@query("M5_M20_tuned_forest_importance")
+def q_rf_tuned(spark, sf):
+    from ..operators.classify import feature_importances, random_forest
+
+    train, _ = _train_test(spark, sf)
+    model = random_forest(RF_FEATURES, num_trees=300, max_depth=10).fit(train)
+    return feature_importances(model, RF_FEATURES).select("feature", _r("importance"))
+
+
+def _boost_data(spark, sf):
+    from ..operators.classify import positive_scale, scale_weights
+
+    train, test = _train_test(spark, sf)
+    scale = positive_scale(train, "target").first()["scale"]
+    return scale_weights(train, "target", scale), test
+
+
+GBT_FINAL = dict(step_size=0.2, max_iter=100, max_depth=8, subsampling_rate=0.8,
+                 feature_subset="0.8", min_info_gain=0.15, min_instances=1)
+
+
+@query("M12_M18_boosted_trees")
+def q_gbt(spark, sf):
+    from ..operators.classify import FEATURES, boosted_trees, score
+
+    train, test = _boost_data(spark, sf)
+    model = boosted_trees(FEATURES, **GBT_FINAL).fit(train)
+    out = score(model, test, ["left_side", "right_side", "target"])
+    return out.select("left_side", "right_side", "target", "target_predicted",
+                      _r("proba_0"), _r("proba_1"))
+
+
+@query("M13_early_stopping")
+def q_early(spark, sf):
+    """Best boosting rounds on a validation split carved from the training
+    set (10 rounds of patience), refit, test log loss and AUC."""
+    from ..operators.classify import (FEATURES, boosted_trees, early_stopping_rounds, log_loss,
+                                      roc_auc, score, stratified_split)
+
+    train, test = _boost_data(spark, sf)
+    tv = stratified_split(train.drop("is_test"), "target", ["left_side", "right_side"], 0.2, 7)
+    fit_part, valid = tv.where(~F.col("is_test")), tv.where(F.col("is_test"))
+    best = early_stopping_rounds(fit_part, valid, GBT_FINAL, FEATURES)
+    params = dict(GBT_FINAL, max_iter=best)
+    model = boosted_trees(FEATURES, **params).fit(train)
+    s = score(model, test, ["target"])
+    ll = log_loss(s, "target", "proba_1").first()["log_loss"]
+    auc = roc_auc(s, "target", "proba_1").first()["auc"]
+    return spark.createDataFrame([(best, float(round(ll, 6)), float(round(auc, 6)))],
+                                 "best_rounds int, test_log_loss double, test_auc double")
+
+
+@query("M11_M19_grid_search")
+def q_grid(spark, sf):
+    """Forest grid of the original tuning: trees {300, 500} x depth
+    {4, 6, 8, 10}, 5 folds, by log loss; mean and deviation per setting."""
+    from ..operators.classify import grid_search, param_grid_table, random_forest
+
+    train, _ = _train_test(spark, sf)
+    est = random_forest(RF_FEATURES, num_trees=300, max_depth=10)
+    _, rows = grid_search(est, {"numTrees": [300, 500], "maxDepth": [4, 6, 8, 10]}, train,
+                          folds=5, parallelism=4)
+    return param_grid_table(spark, rows)
