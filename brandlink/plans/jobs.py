@@ -86,6 +86,7 @@ def pair_feature_table(gold_df: DataFrame, min_similarity: float = 0.2,
 def same_item_groups(gold_df: DataFrame, method: str = "components",
                      min_similarity: float = 0.8) -> DataFrame:
     """C10 + G2/G1 + G3 + G4: which spellings are one brand, and its name."""
+    gold_df = cut_lineage(gold_df)  # read by links, names and counts
     lk = links.constant_score(links.same_item_links(gold_df), 1.0)
     names = brand_names(gold_df)
     if method == "components":

@@ -61,13 +61,13 @@ def q_gold(spark, sf):
 
 @query("X1_slug_documents")
 def q_slug_docs(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     return d.select("doc_id", X.slug("text", CFG.slug_replacements).alias("slug"))
 
 
 @query("X3_slug_compact_documents")
 def q_slug_compact(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     return d.select("doc_id", X.slug_compact("text").alias("slug"))
 
 
@@ -167,7 +167,9 @@ def q_links_simple(spark, sf):
 
 @query("G2_components")
 def q_components(spark, sf):
-    g = _gold(spark, sf, "simple")
+    from ..session import cut_lineage
+
+    g = cut_lineage(_gold(spark, sf, "simple"))
     lk = links.same_item_links(g)
     return groups.connected_components(lk, jobs.brand_names(g))
 
@@ -198,7 +200,7 @@ def q_ngrams(spark, sf):
 
 @query("X13_word_tokens")
 def q_tokens(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     return d.select("doc_id", F.array_join(X.word_tokens(X.slug("text")), " ").alias("tokens"))
 
 
@@ -299,7 +301,9 @@ def q_corr(spark, sf):
 
 
 def _evidence(spark, sf, variant="dirty"):
-    g = _gold(spark, sf, variant)
+    from ..session import cut_lineage
+
+    g = cut_lineage(_gold(spark, sf, variant))
     sg = jobs.similarity_table(g, "similarity_sg", 0.2, include_self=False)
     sg = sg.withColumnRenamed("similarity_sg", "similarity")
     lk = links.constant_score(links.same_item_links(g), 1.0)

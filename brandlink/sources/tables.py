@@ -21,9 +21,23 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 FIXTURE_RETAILERS = ("north", "south", "east")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one driver table."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Parquet scan of one driver table (S1).  ``spread`` for CPU-heavy
+    consumers (see :func:`spread`)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_out(df) if spread else df
+
+
+def spread_out(df: DataFrame) -> DataFrame:
+    """Round-robin repartition a scan that yields fewer input partitions than
+    the session's parallelism (a small file written as one row group is one
+    task).  Size-aware: a scan of many files or row groups is left alone, so
+    at cluster scale this adds no shuffle.  Filters and column pruning still
+    reach the parquet reader through the repartition."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
 
 
 def _retailer(r: Column) -> Column:
@@ -38,7 +52,7 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str, variant: str = "dirty")
     ``variant="dirty"`` exercises every cleaning rule; ``"simple"`` keeps all
     rows with clean ids (used for the links and grouping checks).
     """
-    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
+    li = table(spark, sf_dir, "lineitem", spread=True).select("l_partkey", "l_suppkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     j = li.join(part, li.l_partkey == part.p_partkey)
     pk, r = F.col("l_partkey"), F.col("l_suppkey") % 3
@@ -73,5 +87,5 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str, variant: str = "dirty")
 def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct non-empty ``<title>`` texts of the ``pages`` table."""
     t = F.regexp_extract(F.col("html"), r"(?is)<title>(.*?)</title>", 1)
-    return (table(spark, sf_dir, "pages").select(t.alias("name"))
+    return (table(spark, sf_dir, "pages", spread=True).select(t.alias("name"))
             .where(F.length("name") > 0).distinct())
