@@ -227,3 +227,11 @@ sql("M9_roc_curve", SCORED + ", sc AS (SELECT score, sum(target) AS pos, sum(1 -
 sql("M10_confusion", SCORED + " " + " UNION ALL ".join(
     f"SELECT {a} AS target, {b} AS predicted, (SELECT count(*) FROM sp WHERE target = {a} AND "
     f"predicted = {b}) AS n" for a in (0, 1) for b in (0, 1)))
+
+# ------------------------------------------------------------ dense
+sql("V12_embedding_cosine", "WITH e AS (SELECT CAST(vec_id AS VARCHAR) AS name, "
+    "CAST(embedding AS DOUBLE[]) AS v FROM embeddings), u AS (SELECT name, v, "
+    "sqrt(list_dot_product(v, v)) AS nrm FROM e WHERE list_dot_product(v, v) > 0), "
+    "p AS (SELECT a.name AS left_side, b.name AS right_side, list_dot_product(a.v, b.v) / "
+    "(a.nrm * b.nrm) AS s FROM u a JOIN u b ON a.name < b.name) "
+    f"SELECT left_side, right_side, round(s, {R6}) AS similarity FROM p WHERE round(s, 9) >= 0.3")

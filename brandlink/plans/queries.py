@@ -511,3 +511,70 @@ def q_grid(spark, sf):
     _, rows = grid_search(est, {"numTrees": [300, 500], "maxDepth": [4, 6, 8, 10]}, train,
                           folds=5, parallelism=4)
     return param_grid_table(spark, rows)
+
+
+# ------------------------------------------------------ dense
+
+@query("V12_embedding_cosine")
+def q_embed_cos(spark, sf):
+    """Exact all-pairs cosine >= 0.3 of the ``embeddings`` table (blocked
+    numpy products, threshold before emit)."""
+    from ..operators.dense import dense_cosine_pairs
+
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("name"), "embedding")
+    s = dense_cosine_pairs(e, 0.3, method="blocks", block_size=256)
+    return s.select("left_side", "right_side", _r("similarity"))
+
+
+@query("V12_lsh_embedding_cosine")
+def q_embed_lsh(spark, sf):
+    """Approximate variant (random-hyperplane bands) of the same pairs at a
+    high threshold (0.35); recall is measured against the exact blocks in
+    the tests."""
+    from ..operators.dense import dense_cosine_pairs
+
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("name"), "embedding")
+    s = dense_cosine_pairs(e, 0.35, method="lsh", bands=24, rows=4)
+    return s.select("left_side", "right_side", _r("similarity"))
+
+
+def _pca(spark, sf, share=0.9, k=None):
+    from ..operators.dense import long_to_dense, pca_reduce
+
+    w = jobs.ngram_weights(_gold(spark, sf))
+    vecs, _ = long_to_dense(w)
+    return pca_reduce(vecs, share=share, k=k)
+
+
+@query("V7_pca_ngram")
+def q_pca(spark, sf):
+    """PCA of the brand n-gram TF-IDF keeping 90% of the variance (signs of
+    components are arbitrary: compared by norms, no SQL form)."""
+    emb, k, _ = _pca(spark, sf)
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
+    return emb.select("name", F.lit(k).alias("n_components"), _r_col(norm, "norm"))
+
+
+def _r_col(c, name):
+    return F.round(c, R6).alias(name)
+
+
+@query("V8_pca_explained_variance")
+def q_pca_var(spark, sf):
+    _, k, ratios = _pca(spark, sf)
+    cum, rows = 0.0, []
+    for i, r in enumerate(ratios):
+        cum += r
+        rows.append((i + 1, float(round(r, 6)), float(round(cum, 6)), i + 1 <= k))
+    return spark.createDataFrame(rows, "component int, ratio double, cumulative double, kept boolean")
+
+
+@query("V11_pca_cosine")
+def q_pca_cos(spark, sf):
+    """Cosine >= 0.5 of the PCA-reduced n-gram vectors (reference mode:
+    centred and truncated, so values differ from the sparse cosine)."""
+    from ..operators.dense import dense_cosine_pairs
+
+    emb, _, _ = _pca(spark, sf)
+    s = dense_cosine_pairs(emb, 0.5, method="blocks", block_size=512)
+    return s.select("left_side", "right_side", _r("similarity"))
