@@ -211,7 +211,7 @@ def early_stopping_rounds(train: DataFrame, valid: DataFrame, params: dict, feat
     pipe = boosted_trees(features, label, **params)
     model = pipe.fit(train)
     assembled = model.stages[0].transform(valid)
-    losses = model.stages[-1].evaluateEachIteration(assembled, "logistic")
+    losses = model.stages[-1].evaluateEachIteration(assembled)  # logistic loss
     best, best_i = float("inf"), 0
     for i, v in enumerate(losses):
         if v < best - 1e-12:
