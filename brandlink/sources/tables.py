@@ -46,12 +46,27 @@ def _retailer(r: Column) -> Column:
             .otherwise(F.lit(FIXTURE_RETAILERS[2])))
 
 
-def fixture_catalogue(spark: SparkSession, sf_dir: str, variant: str = "dirty") -> DataFrame:
+_WRITTEN: dict[tuple, DataFrame] = {}
+
+
+def fixture_catalogue(spark: SparkSession, sf_dir: str, variant: str = "dirty",
+                      materialize: bool = True) -> DataFrame:
     """Raw catalogue ``retailer, ean, brand_name, crumb`` from lineitem x part.
 
     ``variant="dirty"`` exercises every cleaning rule; ``"simple"`` keeps all
     rows with clean ids (used for the links and grouping checks).
+
+    The fixture stands in for the catalogue files the pipeline reads, so by
+    default it is built once per session and written (reliable checkpoint in
+    the session's checkpoint folder); later jobs scan the written table.
     """
+    if materialize:
+        from ..session import cut_lineage
+
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), variant)
+        if key not in _WRITTEN:
+            _WRITTEN[key] = cut_lineage(fixture_catalogue(spark, sf_dir, variant, False))
+        return _WRITTEN[key]
     li = table(spark, sf_dir, "lineitem", spread=True).select("l_partkey", "l_suppkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     j = li.join(part, li.l_partkey == part.p_partkey)
