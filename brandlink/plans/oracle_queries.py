@@ -235,3 +235,13 @@ sql("V12_embedding_cosine", "WITH e AS (SELECT CAST(vec_id AS VARCHAR) AS name,
     "p AS (SELECT a.name AS left_side, b.name AS right_side, list_dot_product(a.v, b.v) / "
     "(a.nrm * b.nrm) AS s FROM u a JOIN u b ON a.name < b.name) "
     f"SELECT left_side, right_side, round(s, {R6}) AS similarity FROM p WHERE round(s, 9) >= 0.3")
+
+# ------------------------------------------------------------- J7, S2-S4
+sql("J7_similarity_outer_join", W(extra=NG + ", " + EMB.replace(NAMES + ", ", "") + ", "
+    + CAT.replace(NAMES + ", ", "") + ", sg AS (" + o.cosine_pairs_sql("ng_w", 0.2, True, True,
+                                                                      "similarity_sg")
+    + "), st AS (" + o.cosine_pairs_sql("emb_w", 0.5, True, True, "similarity_st")
+    + "), nm AS (" + o.cosine_pairs_sql("cat_w", 0.2, True, True, "similarity_nomenclature") + ")")
+    + " SELECT * FROM sg FULL JOIN st USING (left_side, right_side) "
+      "FULL JOIN nm USING (left_side, right_side)")
+sql("S2_S3_S4_csv_round_trip", SQL["C8_V10_ngram_cosine"])

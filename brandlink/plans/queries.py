@@ -578,3 +578,50 @@ def q_pca_cos(spark, sf):
     emb, _, _ = _pca(spark, sf)
     s = dense_cosine_pairs(emb, 0.5, method="blocks", block_size=512)
     return s.select("left_side", "right_side", _r("similarity"))
+
+
+# ---------------------------------------------------- J7, S2-S4, M14 search
+
+@query("J7_similarity_outer_join")
+def q_outer(spark, sf):
+    """Full outer join of three similarity tables on the pair key."""
+    from ..session import cut_lineage
+
+    g = cut_lineage(_gold(spark, sf))
+    sg = jobs.similarity_table(g, "similarity_sg", 0.2)
+    st = jobs.similarity_table(g, "similarity_st", 0.5)
+    nm = jobs.similarity_table(g, "similarity_nomenclature", 0.2)
+    keys = ["left_side", "right_side"]
+    j = sg.join(st, keys, "full_outer").join(nm, keys, "full_outer")
+    return j.select(*keys, _r("similarity_sg"), _r("similarity_st"), _r("similarity_nomenclature"))
+
+
+@query("S2_S3_S4_csv_round_trip")
+def q_csv(spark, sf):
+    """n-gram pairs written as ';'-separated CSV with header (S4) into the
+    session's checkpoint folder, read back with an explicit schema (S2/S3)."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources.io import read_csv, similarity_schema, write_csv
+
+    s = jobs.similarity_table(_gold(spark, sf), "similarity_sg", 0.2)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    write_csv(s, path)
+    back = read_csv(spark, path, similarity_schema("similarity_sg"))
+    return back.select("left_side", "right_side", _r("similarity_sg"))
+
+
+@query("M14_random_search_depth_child")
+def q_random_search(spark, sf):
+    """Random search (10 settings, seeded) over tree depth 3..14 x minimum
+    instances per node 1..5 for boosted trees, 5 folds, by log loss."""
+    from ..operators.classify import FEATURES, boosted_trees, grid_search, param_grid_table
+
+    train, _ = _boost_data(spark, sf)
+    est = boosted_trees(FEATURES, step_size=0.1, max_iter=100, max_depth=5,
+                        subsampling_rate=0.8, feature_subset="0.8", min_info_gain=0.0)
+    _, rows = grid_search(est, {"maxDepth": list(range(3, 15)),
+                                "minInstancesPerNode": list(range(1, 6))},
+                          train, folds=5, parallelism=8, sample=10)
+    return param_grid_table(spark, rows)

@@ -1,5 +1,7 @@
 import math
 
+from pyspark.sql import functions as F
+
 from brandlink.operators import classify as C
 
 
@@ -33,3 +35,15 @@ def test_auc_logloss_confusion(spark):
     assert sum(cm.values()) == len(ys) and len(cm) == 4
     roc = C.roc_curve(df, "y", "s").collect()
     assert any(r.fpr == 1.0 and r.tpr == 1.0 for r in roc)
+
+
+def test_search_small(spark):
+    import random as _r
+
+    rng = _r.Random(1)
+    rows = [(rng.random(), rng.random(), 1 if i % 3 == 0 else 0) for i in range(120)]
+    df = spark.createDataFrame(rows, "a double, b double, target int").withColumn("weight", F.lit(1.0))
+    est = C.boosted_trees(["a", "b"], max_iter=3, max_depth=2, min_info_gain=0.0)
+    _, res = C.grid_search(est, {"maxDepth": [2, 3], "stepSize": [0.1, 0.5]}, df, folds=2,
+                           parallelism=2, sample=2)
+    assert len(res) == 2 and all(m > 0 for _, m, _ in res)
