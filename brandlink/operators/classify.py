@@ -147,6 +147,20 @@ def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 # ---------------------------------------------------------------- models
 
+def compact_training_set(df: DataFrame, rows_per_partition: int = 500_000) -> DataFrame:
+    """Persist a training set and give it about one partition per
+    ``rows_per_partition`` rows.  Tree learners run several jobs per
+    iteration; a hand-labelled pair set is small, and spreading it thin only
+    multiplies task overhead.  Large sets keep their partitioning."""
+    import math as _m
+
+    n = df.count()
+    target = max(1, _m.ceil(n / rows_per_partition))
+    if df.rdd.getNumPartitions() > target:
+        df = df.coalesce(target)
+    return df.persist()
+
+
 def assemble(features: Sequence[str], out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 
@@ -237,7 +251,7 @@ def grid_search(estimator: Pipeline, grid: dict, train: DataFrame, label: str =
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="logLoss")
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=ev,
                         numFolds=folds, parallelism=parallelism, seed=seed, collectSubModels=False)
-    model = cv.fit(train)
+    model = cv.fit(compact_training_set(train))
     rows = []
     for pm, avg, std in zip(maps, model.avgMetrics, model.stdMetrics or [0.0] * len(maps)):
         rows.append(({p.name: float(v) for p, v in pm.items()}, float(avg), float(std)))

@@ -430,7 +430,10 @@ def _train_test(spark, sf):
     data = stratified_split(class_weights(data, "target"), "target",
                             ["left_side", "right_side"], 0.3, 42)
     data = cut_lineage(data)
-    return data.where(~F.col("is_test")), data.where(F.col("is_test"))
+    from ..operators.classify import compact_training_set
+
+    return (compact_training_set(data.where(~F.col("is_test"))),
+            data.where(F.col("is_test")))
 
 
 RF_FEATURES = ["similarity_sg", "similarity_sgWords", "similarity_st",
