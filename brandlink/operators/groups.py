@@ -124,8 +124,7 @@ def ordered_groups(pairs: DataFrame, min_similarity: float = 0.7,
                .select("name", F.col("f.e").alias("e"), F.lit("O").alias("side"),
                        F.lit(False).alias("m")))
     events_occ = occ.where("m").unionByName(orphans)
-    w = Window.partitionBy("name").orderBy("e")
-    events_occ = cut_lineage(events_occ.withColumn("prev", F.lag("e").over(w)))
+    events_occ = cut_lineage(previous_in_order(events_occ, "name", "e", "prev"))
 
     # parent of each event: latest earlier event of its left name, else right
     ev_parent = (events_occ.groupBy("e").agg(
@@ -145,6 +144,30 @@ def ordered_groups(pairs: DataFrame, min_similarity: float = 0.7,
     return out
 
 
+def previous_in_order(df: DataFrame, key: str, order: str, out: str,
+                      partitions: int | None = None) -> DataFrame:
+    """``out`` = the largest ``order`` value below this row's among rows with
+    the same ``key`` (a lag per key) without putting a hot key in one task.
+
+    Rows are range-partitioned on (key, order), so a key holding a large share
+    of the rows spans several partitions in contiguous order ranges.  The lag
+    is taken inside each (partition, key) group; the first row of a group
+    then takes the largest value of the same key in the nearest earlier
+    partition -- a window over at most one row per partition and key.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    r = df.repartitionByRange(n, key, order).withColumn("_pid", F.spark_partition_id())
+    local = r.withColumn(out, F.lag(order).over(Window.partitionBy("_pid", key).orderBy(order)))
+    bounds = r.groupBy("_pid", key).agg(F.min(order).alias("_first"), F.max(order).alias("_last"))
+    bounds = bounds.withColumn(
+        "_carry", F.lag("_last").over(Window.partitionBy(key).orderBy("_pid")))
+    carry = bounds.where(F.col("_carry").isNotNull()).select(
+        "_pid", key, F.col("_first").alias(order), "_carry")
+    out_df = local.join(carry, ["_pid", key, order], "left")
+    return out_df.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_pid", "_carry")
+
+
 def _resolve_roots(forest: DataFrame, max_rounds: int) -> DataFrame:
     """Pointer jumping: (e, parent) -> (e, root)."""
     cur = cut_lineage(forest.select("e", F.coalesce("parent", "e").alias("p")))

@@ -76,3 +76,15 @@ def test_identifier_and_communities(spark):
                                 "left_side string, right_side string, similarity double")
     com = {r.name: r.group_id for r in groups.threshold_communities(sym).collect()}
     assert com == {"a": "b", "b": "b", "c": "b"}
+
+
+def test_previous_in_order_hot_key(spark):
+    from brandlink.operators.groups import previous_in_order
+
+    rows = [("hot", i) for i in range(0, 400, 2)] + [("cold", i) for i in range(5)]
+    df = spark.createDataFrame(rows, "name string, e int")
+    got = {(r.name, r.e): r.prev for r in previous_in_order(df, "name", "e", "prev", 6).collect()}
+    for name in ("hot", "cold"):
+        es = sorted(e for n, e in rows if n == name)
+        for a, b in zip([None] + es[:-1], es):
+            assert got[(name, b)] == a
