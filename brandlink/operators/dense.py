@@ -31,22 +31,30 @@ PAIR_SCHEMA = "left_side string, right_side string, similarity double"
 
 # ------------------------------------------------------------------- PCA
 
-def long_to_dense(weights: DataFrame) -> tuple[DataFrame, DataFrame]:
+def long_to_dense(weights: DataFrame, max_features: int = 4096) -> tuple[DataFrame, int]:
     """Long form ``(name, term, w)`` to ``(name, features vector)``.
 
-    The vocabulary (distinct terms) gets positions by rank; PCA keeps a
-    vocabulary-squared covariance on the driver anyway, so the vocabulary is
-    the bounded quantity here.  Returns (vectors, vocabulary)."""
+    A vocabulary of at most ``max_features`` terms gets exact positions (rank
+    over the distinct terms, a bounded window).  A larger one is hashed into
+    ``max_features`` buckets (colliding weights add up), so the dimension --
+    and PCA's driver-side covariance -- stays bounded however large the
+    vocabulary grows.  Returns (vectors, dimension)."""
     vocab = weights.select("term").distinct()
-    vocab = vocab.withColumn("idx", F.dense_rank().over(Window.orderBy("term")) - 1)
     size = int(vocab.agg(F.count("*")).first()[0])  # one scalar to the driver
-    entries = (weights.join(vocab, "term")
+    if size <= max_features:
+        vocab = vocab.withColumn("idx", F.dense_rank().over(Window.orderBy("term")) - 1)
+        indexed = weights.join(vocab, "term")
+        dim = size
+    else:
+        indexed = weights.withColumn("idx", F.pmod(F.xxhash64("term"), F.lit(max_features)))
+        dim = max_features
+    entries = (indexed.groupBy("name", "idx").agg(F.sum("w").alias("w"))
                .groupBy("name").agg(F.map_from_entries(F.collect_list(
                    F.struct(F.col("idx").cast("int"), F.col("w").cast("double")))).alias("m")))
     dense = entries.select("name", F.transform(
-        F.sequence(F.lit(0), F.lit(size - 1)),
+        F.sequence(F.lit(0), F.lit(dim - 1)),
         lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("arr"))
-    return dense.select("name", array_to_vector("arr").alias("features")), vocab
+    return dense.select("name", array_to_vector("arr").alias("features")), dim
 
 
 def pca_reduce(vectors: DataFrame, share: float | None = 0.9, k: int | None = None,
