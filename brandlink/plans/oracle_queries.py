@@ -245,3 +245,4 @@ sql("J7_similarity_outer_join", W(extra=NG + ", " + EMB.replace(NAMES + ", ", ""
     + " SELECT * FROM sg FULL JOIN st USING (left_side, right_side) "
       "FULL JOIN nm USING (left_side, right_side)")
 sql("S2_S3_S4_csv_round_trip", SQL["C8_V10_ngram_cosine"])
+sql("O4_preview", W() + " SELECT * FROM gold ORDER BY retailer, product_id LIMIT 5")

@@ -628,3 +628,10 @@ def q_random_search(spark, sf):
                                 "minInstancesPerNode": list(range(1, 6))},
                           train, folds=5, parallelism=8, sample=10)
     return param_grid_table(spark, rows)
+
+
+@query("O4_preview")
+def q_preview(spark, sf):
+    """First five gold rows by retailer and product id (a preview is a
+    limit with an explicit order)."""
+    return _gold(spark, sf).orderBy("retailer", "product_id").limit(5)
