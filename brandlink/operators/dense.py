@@ -95,9 +95,15 @@ def _unit(df: DataFrame, col: str) -> DataFrame:
 def dense_cosine_pairs(emb: DataFrame, min_similarity: float, name_col: str = "name",
                        vec_col: str = "embedding", method: str = "blocks",
                        block_size: int = 2048, bands: int = 16, rows: int = 8,
-                       seed: int = 42, symmetric: bool = False) -> DataFrame:
-    """Pairs ``left < right`` with cosine >= ``min_similarity``."""
+                       seed: int = 42, symmetric: bool = False,
+                       max_exact: int = 200_000) -> DataFrame:
+    """Pairs ``left < right`` with cosine >= ``min_similarity``.
+
+    ``method="auto"`` runs the exact blocks up to ``max_exact`` vectors
+    (n^2/2 dot products) and the approximate LSH join beyond."""
     e = _unit(emb.select(F.col(name_col).cast("string").alias("name"), F.col(vec_col)), vec_col)
+    if method == "auto":
+        method = "blocks" if e.count() <= max_exact else "lsh"
     if method == "blocks":
         out = _blocks(e, min_similarity, block_size)
     elif method == "lsh":
