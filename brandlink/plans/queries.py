@@ -635,3 +635,27 @@ def q_preview(spark, sf):
     """First five gold rows by retailer and product id (a preview is a
     limit with an explicit order)."""
     return _gold(spark, sf).orderBy("retailer", "product_id").limit(5)
+
+
+@query("C13_C14_model_groups")
+def q_model_groups(spark, sf):
+    """The end of the original pipeline: boosted trees (final settings)
+    trained on the labelled training split score every candidate pair;
+    model probabilities and same-item links (1.0) are merged by maximum,
+    grouped with the ordered pass at 0.8 (every brand appears), and each
+    group gets its canonical name."""
+    from ..operators.classify import FEATURES, boosted_trees, score
+    from ..session import cut_lineage
+
+    train, test = _boost_data(spark, sf)
+    model = boosted_trees(FEATURES, **GBT_FINAL).fit(train)
+    g = cut_lineage(_gold(spark, sf))
+    # the two splits together are every candidate pair, features included
+    feats = train.drop("weight").unionByName(test.drop("weight"))
+    scored = score(model, feats, ["left_side", "right_side"]).select(
+        "left_side", "right_side", F.col("proba_1").alias("similarity"))
+    lk = links.constant_score(links.same_item_links(g), 1.0)
+    ev = cut_lineage(links.merge_evidence(scored, lk))
+    grp = groups.ordered_groups(ev, 0.8, jobs.brand_names(g))
+    counts = catalog.brand_product_counts(g).withColumnRenamed("brand_desc_slug", "name")
+    return groups.pick_identifier(grp, counts)
