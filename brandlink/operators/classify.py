@@ -147,17 +147,11 @@ def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 # ---------------------------------------------------------------- models
 
-def compact_training_set(df: DataFrame, rows_per_partition: int = 500_000) -> DataFrame:
-    """Persist a training set and give it about one partition per
-    ``rows_per_partition`` rows.  Tree learners run several jobs per
-    iteration; a hand-labelled pair set is small, and spreading it thin only
-    multiplies task overhead.  Large sets keep their partitioning."""
-    import math as _m
-
-    n = df.count()
-    target = max(1, _m.ceil(n / rows_per_partition))
-    if df.rdd.getNumPartitions() > target:
-        df = df.coalesce(target)
+def compact_training_set(df: DataFrame) -> DataFrame:
+    """Persist a training set that several fits read (folds, settings).
+    Cached blocks lost with an executor are recomputed from lineage.
+    Partitioning is left as is: fewer partitions made cross-validated forest
+    searches slower (trees of one fit are built in parallel over partitions)."""
     return df.persist()
 
 
