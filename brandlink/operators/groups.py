@@ -49,7 +49,9 @@ def connected_components(pairs: DataFrame, names: DataFrame | None = None,
     label.  Labels only decrease and are node names, so the fixpoint is the
     smallest name of each component.
     """
-    spark = pairs.sparkSession
+    # read for the edges and for the name list: materialise once
+    keep = ["left_side", "right_side"] + ([column] if min_similarity is not None else [])
+    pairs = cut_lineage(pairs.select(*keep))
     edges_in = pairs if min_similarity is None else pairs.where(F.col(column) >= min_similarity)
     e = edges_in.select(F.col("left_side").alias("src"), F.col("right_side").alias("dst"))
     e = e.where(F.col("src") != F.col("dst"))
@@ -96,6 +98,8 @@ def ordered_groups(pairs: DataFrame, min_similarity: float = 0.7,
     Order: ``order_col`` ascending when given (a total order over pairs), else
     similarity descending, then left, then right.
     """
+    cols = ["left_side", "right_side", column] + ([order_col] if order_col else [])
+    pairs = cut_lineage(pairs.select(*dict.fromkeys(cols)))  # read twice below
     if order_col is not None:
         k = F.struct(F.col(order_col).alias("k0"), F.col("left_side").alias("k1"),
                      F.col("right_side").alias("k2"))
@@ -210,6 +214,7 @@ def threshold_communities(sym_pairs: DataFrame, names: DataFrame | None = None,
     So a name joins the neighbour (or itself) with the largest neighbourhood,
     ties to the smallest name.  ``sym_pairs`` must hold both directions of
     every thresholded pair.  Output ``name, group_id`` (the centre)."""
+    sym_pairs = cut_lineage(sym_pairs.select("left_side", "right_side"))  # read three times
     e = sym_pairs.where(F.col("left_side") != F.col("right_side")).select(
         F.col("left_side").alias("a"), F.col("right_side").alias("b")).distinct()
     allnames = _names(sym_pairs, names)

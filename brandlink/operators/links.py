@@ -109,6 +109,7 @@ def pair_cosines(pairs: DataFrame, weights: Mapping[str, DataFrame]) -> DataFram
     for k, w in weights.items():
         part = w.select(F.lit(k).alias("kind"), "name", "term", "w")
         allw = part if allw is None else allw.unionByName(part)
+    allw = cut_lineage(allw)  # read for the left and the right terms
     lw = allw.select("kind", F.col("name").alias("left_side"), "term", F.col("w").alias("wl"))
     rw = allw.select("kind", F.col("name").alias("right_side"), "term", F.col("w").alias("wr"))
     p = pairs.select(*KEYS).distinct()

@@ -77,6 +77,8 @@ def cosine_pairs(weights: DataFrame, min_similarity: float, symmetric: bool = Fa
     sims = (cand.join(lw, "left_side").join(rw, ["right_side", "term"])
             .groupBy("left_side", "right_side").agg(F.sum(F.col("wl") * F.col("wr")).alias("s"))
             .where(at_least(F.col("s"), min_similarity)))
+    if symmetric:
+        sims = cut_lineage(sims)  # thresholded pairs, read twice (both directions)
     out = sims
     if symmetric:
         out = out.unionByName(sims.select(F.col("right_side").alias("left_side"),
