@@ -35,7 +35,8 @@ def same_item_links(gold_df: DataFrame, min_items: int = 2, count_rows: bool = F
     pairs = (j.groupBy("ra", "rb", "ba", "bb").agg(F.count("*").alias("n"))
              .where(F.col("n") >= min_items)
              .select(F.col("ba").alias("left_side"), F.col("bb").alias("right_side")))
-    return symmetric_closure(pairs)
+    # read twice by the closure (both directions): write once
+    return symmetric_closure(cut_lineage(pairs))
 
 
 # ------------------------------------------------------------ token-set ratio
