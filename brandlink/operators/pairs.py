@@ -30,8 +30,11 @@ def _with_suffix_norm(weights: DataFrame) -> DataFrame:
     """Add ``df`` (document frequency) and ``suffix`` = norm of the name's
     weights on this term and all more common ones.  A growing running sum in
     reverse order (common to rare), so the window is linear per name."""
-    dfreq = weights.groupBy("term").agg(F.count("*").alias("df"))
-    w = weights.join(dfreq, "term")
+    if "df" in weights.columns:  # carried from TF-IDF: no second shuffle by term
+        w = weights
+    else:
+        dfreq = weights.groupBy("term").agg(F.count("*").alias("df"))
+        w = weights.join(dfreq, "term")
     win = (Window.partitionBy("name").orderBy(F.col("df").desc(), F.col("term").desc())
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return w.withColumn("suffix", F.sqrt(F.sum(F.col("w") * F.col("w")).over(win)))
@@ -70,7 +73,8 @@ def cosine_pairs(weights: DataFrame, min_similarity: float, symmetric: bool = Fa
     if min_similarity <= 0:
         raise ValueError("a positive threshold is required (all pairs would be n^2)")
     # read four times below: materialise once (reliable checkpoint)
-    weights = cut_lineage(weights.select("name", "term", "w"))
+    keep = ["name", "term", "w"] + (["df"] if "df" in weights.columns else [])
+    weights = cut_lineage(weights.select(*keep))
     lw = weights.select(F.col("name").alias("left_side"), "term", F.col("w").alias("wl"))
     rw = weights.select(F.col("name").alias("right_side"), "term", F.col("w").alias("wr"))
     cand = candidate_pairs(weights, min_similarity)

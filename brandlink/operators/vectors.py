@@ -52,7 +52,8 @@ def tfidf(tokens: DataFrame, names: DataFrame | None = None, normalize: bool = T
     tf = term_frequency(tokens)
     dfreq = document_frequency(tf)
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    w = tf.join(dfreq, "term").select("name", "term", (F.col("tf") * idf).alias("w"))
+    # df travels with the weights: the similarity join orders terms by it
+    w = tf.join(dfreq, "term").select("name", "term", (F.col("tf") * idf).alias("w"), "df")
     return l2_normalize(w) if normalize else w
 
 
