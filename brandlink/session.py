@@ -39,6 +39,8 @@ def get_spark(master: str | None = None, app: str = "brandlink",
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("BRANDLINK_DRIVER_MEMORY", "16g"))
         .config("spark.python.worker.reuse", "true")
+        # checkpoint files of collected DataFrames are removed by the cleaner
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
