@@ -104,3 +104,17 @@ def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.regexp_extract(F.col("html"), r"(?is)<title>(.*?)</title>", 1)
     return (table(spark, sf_dir, "pages", spread=True).select(t.alias("name"))
             .where(F.length("name") > 0).distinct())
+
+
+def read_catalogues(spark: SparkSession, path_prefix: str, retailers) -> DataFrame:
+    """S1 for real catalogues: one parquet file (or folder) per retailer at
+    ``{path_prefix}{retailer}.parquet`` with ``ean, brand_name, crumb``,
+    stacked into one DataFrame with a ``retailer`` column.  Each scan keeps
+    its own column pruning and filter pushdown."""
+    frames = [spark.read.parquet(f"{path_prefix}{name}.parquet")
+              .select(F.lit(name).alias("retailer"), "ean", "brand_name", "crumb")
+              for name in retailers]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
