@@ -88,3 +88,19 @@ def test_previous_in_order_hot_key(spark):
         es = sorted(e for n, e in rows if n == name)
         for a, b in zip([None] + es[:-1], es):
             assert got[(name, b)] == a
+
+
+def test_ordered_refines_components(spark):
+    rng = random.Random(23)
+    names = [f"n{i}" for i in range(9)]
+    pl = [(rng.choice(names), rng.choice(names), rng.choice([0.2, 0.8, 0.95])) for _ in range(18)]
+    df = frame(spark, pl)
+    ordered = {r.name: r.group_id for r in
+               groups.ordered_groups(df, 0.7, order_col="pos").collect()}
+    comp = {r.name: r.group_id for r in
+            groups.connected_components(df, min_similarity=0.7).collect()}
+    assert set(ordered) == set(comp)
+    by_group = {}
+    for n, g in ordered.items():
+        by_group.setdefault(g, set()).add(comp[n])
+    assert all(len(cs) == 1 for cs in by_group.values())
