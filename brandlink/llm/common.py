@@ -24,14 +24,18 @@ def staged(df: DataFrame) -> DataFrame:
     and read it back.
 
     Cuts lineage (a lost executor costs nothing that was written), and later
-    readers prune columns.  The files go when the driver's JVM ends.
+    readers prune columns.  The files go when the driver's JVM ends; shuffle
+    files of the steps before it are released now, not at some later garbage
+    collection.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    spark._jvm.System.gc()
+    return out
 
 
 def shuffle_parts(spark: SparkSession) -> int:

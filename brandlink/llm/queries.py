@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, quality, syncmers, urls
+from . import licenses, minhash, mixing, quality, syncmers, urls
 from .common import table
 
 
@@ -26,9 +26,14 @@ def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf, "pages")).drop("matched")
 
 
+def op9_circulant_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf, "documents"))
 
 
 REGISTRY = {f.__name__: f for f in (
-    op4_license_scan, op5_source_mix, op6_closed_syncmers, op8_url_filter, op10_quality_rules)}
+    op4_license_scan, op5_source_mix, op6_closed_syncmers, op8_url_filter,
+    op9_circulant_minhash, op10_quality_rules)}
