@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, minhash, mixing, quality, syncmers, urls
+from . import licenses, minhash, mixing, quality, suffixes, syncmers, urls
 from .common import table
 
 
+def op3_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.drop_repeats(table(spark, sf, "documents")).drop("kept")
+
+
 def op4_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf, "documents")).drop("spans")
 
@@ -35,5 +39,5 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op4_license_scan, op5_source_mix, op6_closed_syncmers, op8_url_filter,
+    op3_suffix_dedup, op4_license_scan, op5_source_mix, op6_closed_syncmers, op8_url_filter,
     op9_circulant_minhash, op10_quality_rules)}
