@@ -34,10 +34,19 @@ def staged(df: DataFrame) -> DataFrame:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
     out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
     spark._jvm.System.gc()
     return out
 
 
+def release(*frames: DataFrame) -> None:
+    """Delete staged tables that no later step reads."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._staged_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

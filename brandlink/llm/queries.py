@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, minhash, mixing, quality, suffixes, syncmers, urls
+from . import licenses, minhash, mixing, ngrams, quality, suffixes, syncmers, urls
 from .common import table
 
 
+def op1_trie_score(spark: SparkSession, sf: str) -> DataFrame:
+    return ngrams.score_documents(table(spark, sf, "documents"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffixes.drop_repeats(table(spark, sf, "documents")).drop("kept")
 
@@ -39,5 +43,5 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op3_suffix_dedup, op4_license_scan, op5_source_mix, op6_closed_syncmers, op8_url_filter,
+    op1_trie_score, op3_suffix_dedup, op4_license_scan, op5_source_mix, op6_closed_syncmers, op8_url_filter,
     op9_circulant_minhash, op10_quality_rules)}
