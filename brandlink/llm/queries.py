@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, minhash, mixing, ngrams, quality, suffixes, syncmers, urls
+from . import licenses, minhash, mixing, ngrams, pieces, quality, suffixes, syncmers, toxicity, urls
 from .common import table
 
 
@@ -13,6 +13,10 @@ def op1_trie_score(spark: SparkSession, sf: str) -> DataFrame:
     return ngrams.score_documents(table(spark, sf, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, sf, "documents"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffixes.drop_repeats(table(spark, sf, "documents")).drop("kept")
 
@@ -30,6 +34,11 @@ def op6_closed_syncmers(spark: SparkSession, sf: str) -> DataFrame:
     return syncmers.fingerprint_documents(table(spark, sf, "documents"))
 
 
+def op7_toxicity_chain(spark: SparkSession, sf: str) -> DataFrame:
+    out = toxicity.judge_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return out.select("doc_id", "p_low_quality", "p_toxic", "is_toxic")
+
+
 def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf, "pages")).drop("matched")
 
@@ -43,5 +52,6 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_trie_score, op3_suffix_dedup, op4_license_scan, op5_source_mix, op6_closed_syncmers, op8_url_filter,
+    op1_trie_score, op2_sentencepiece, op3_suffix_dedup, op4_license_scan, op5_source_mix, op6_closed_syncmers,
+    op7_toxicity_chain, op8_url_filter,
     op9_circulant_minhash, op10_quality_rules)}
