@@ -12,6 +12,9 @@ import os
 
 import numpy as np
 
+_U = np.arange(256, dtype=np.uint64)
+_M1, _M2, _M4 = (np.uint64(x) for x in (0x5555555555555555, 0x3333333333333333, 0x0F0F0F0F0F0F0F0F))
+_L8, _H8 = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
 _POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
@@ -68,28 +71,28 @@ class EliasFano:
         ones = np.cumsum(_POP[packed].reshape(-1, 8).sum(1, dtype=np.int64))
         before = np.concatenate([[0], ones[:-1]])
         self._low = file.add(_write_bits(low, self.low_bits))
-        self._high = file.add(packed)
+        self._high = file.add(packed.view(np.uint64))
         self._ones = file.add(before)
         self._zeros = file.add(np.arange(len(before), dtype=np.int64) * 64 - before)
 
     def _select(self, k: np.ndarray, directory: int, one: bool) -> np.ndarray:
-        """Place of the k-th one (or zero) bit."""
-        table, packed = self.file.map(directory), self.file.map(self._high)
-        word = np.searchsorted(table, k, "right") - 1
-        left = (k - table[word]).astype(np.int64)
-        byte = word * 8
-        for _ in range(7):
-            c = _POP[packed[byte]].astype(np.int64)
-            if not one:
-                c = 8 - c
-            go = left >= c
-            # a lane that has stopped keeps stopping: its count is below the byte's
-            left -= np.where(go, c, 0)
-            byte += go
-            if not go.any():
-                break
-        cur = packed[byte] if one else ~packed[byte]
-        return byte * 8 + _IN_BYTE[cur, np.minimum(left, 7)]
+        """Place of the k-th one (or zero) bit: its word from the directory, its
+        byte from the word's running byte counts, then a table."""
+        table, words = self.file.map(directory), self.file.map(self._high)
+        at = np.searchsorted(table, k, "right") - 1
+        left = (k - table[at]).astype(np.uint64)
+        x = words[at]
+        if not one:
+            x = ~x
+        c = x - ((x >> _U[1]) & _M1)
+        c = (c & _M2) + ((c >> _U[2]) & _M2)
+        c = (((c + (c >> _U[4])) & _M4) * _L8)           # ones up to and with each byte
+        # bytes whose running count is at most ``left``
+        byte = (((((left * _L8) | _H8) - c) & _H8) >> _U[7]) * _L8 >> _U[56]
+        shift = byte << _U[3]
+        left -= ((c << _U[8]) >> shift) & _U[255]
+        return (at << 6) + shift.astype(np.int64) + _IN_BYTE[((x >> shift) & _U[255]).astype(np.intp),
+                                                             left.astype(np.intp)]
 
     def get(self, i: np.ndarray) -> np.ndarray:
         i = np.asarray(i, np.int64)
@@ -106,10 +109,10 @@ class EliasFano:
         up = np.where(off > 0, words[at + 1] << ((np.uint64(64) - off) & np.uint64(63)), np.uint64(0))
         return ((v | up) & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
 
-    def successor(self, x: np.ndarray) -> np.ndarray:
-        """Index of the first item >= x (n if none)."""
+    def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Index of the first item >= x (n if none), and whether it equals x."""
         x = np.asarray(x, np.int64)
-        out = np.full(len(x), self.n, np.int64)
+        out, same = np.full(len(x), self.n, np.int64), np.zeros(len(x), bool)
         high = x >> self.low_bits
         ok = np.flatnonzero(high < self.zeros)
         h = high[ok]
@@ -119,7 +122,7 @@ class EliasFano:
         start[pos] = self._select(h[pos] - 1, self._zeros, False) - (h[pos] - 1)
         end = self._select(h, self._zeros, False) - h
         low = x[ok] & ((1 << self.low_bits) - 1)
-        lo, hi = start, end
+        lo, hi = start, end.copy()
         todo = np.flatnonzero(lo < hi)
         while len(todo):
             mid = (lo[todo] + hi[todo]) >> 1
@@ -128,18 +131,9 @@ class EliasFano:
             hi[todo[~less]] = mid[~less]
             todo = todo[lo[todo] < hi[todo]]
         out[ok] = lo
-        return out
-
-
-def _in_byte() -> np.ndarray:
-    t = np.zeros((256, 8), np.int64)
-    for b in range(256):
-        ones = [k for k in range(8) if b >> k & 1]
-        t[b, :len(ones)] = ones
-    return t
-
-
-_IN_BYTE = _in_byte()
+        here = np.flatnonzero(lo < end)
+        same[ok[here]] = self._get_low(lo[here]) == low[here]
+        return out, same
 
 
 class Siblings:
@@ -160,27 +154,40 @@ class Siblings:
         base = np.concatenate([[0], np.cumsum(last)])
         self.children = EliasFano(base[parent] + child + 1, file)
 
-    def find(self, parent: np.ndarray, child: np.ndarray) -> np.ndarray:
-        """Place of the child among all children, -1 if it isn't its parent's."""
-        out = np.full(len(parent), -1, np.int64)
-        if not self.children.n:
-            return out
-        lo, hi = self.pointers.get(parent), self.pointers.get(parent + 1)
-        ok = np.flatnonzero(hi > lo)
-        lo, hi = lo[ok], hi[ok]
-        base = np.zeros(len(ok), np.int64)
+    def _ranges(self, parent: np.ndarray):
+        """First child, end and base of each parent; equal neighbours share
+        the work."""
+        new = np.concatenate([[True], parent[1:] != parent[:-1]]) if len(parent) else np.zeros(0, bool)
+        p, at = parent[new], np.cumsum(new) - 1
+        lo, hi = self.pointers.get(p), self.pointers.get(p + 1)
+        base = np.zeros(len(p), np.int64)
         some = np.flatnonzero(lo > 0)
         base[some] = self.children.get(lo[some] - 1)
-        want = base + child[ok] + 1
-        at = self.children.successor(want)
-        hit = at < hi
-        hit[hit] = self.children.get(at[hit]) == want[hit]
-        out[ok[hit]] = at[hit]
-        return out
+        return lo[at], hi[at], base[at]
+
+    def _search(self, parent: np.ndarray, child: np.ndarray):
+        if not self.children.n:
+            return np.full(len(parent), -1, np.int64), np.zeros(len(parent), np.int64)
+        lo, hi, base = self._ranges(parent)
+        at, same = self.children.successor(base + child + 1)
+        return np.where(same & (at >= lo) & (at < hi), at, -1), lo
+
+    def find(self, parent: np.ndarray, child: np.ndarray) -> np.ndarray:
+        """Place of the child among all children, -1 if it isn't its parent's."""
+        return self._search(parent, child)[0]
 
     def rank(self, parent: np.ndarray, child: np.ndarray) -> np.ndarray:
         """Place of the child among its parent's children, -1 if none."""
-        at = self.find(parent, child)
-        ok = at >= 0
-        at[ok] -= self.pointers.get(parent[ok])
-        return at
+        at, lo = self._search(parent, child)
+        return np.where(at >= 0, at - lo, -1)
+
+
+def _in_byte() -> np.ndarray:
+    t = np.zeros((256, 8), np.int64)
+    for b in range(256):
+        ones = [k for k in range(8) if b >> k & 1]
+        t[b, :len(ones)] = ones
+    return t
+
+
+_IN_BYTE = _in_byte()

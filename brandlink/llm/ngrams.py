@@ -23,13 +23,13 @@ import tempfile
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import block_words, code_blocks
 from .common import release, shuffle_parts, staged
 from .eliasfano import Siblings, Writer
-from .packing import mix64, pack, runs, unpack
+from .packing import mix64, pack, pack_small, runs, unpack, unpack_small
 
 MU = (200.0, 20.0)     # smoothing of bigrams and trigrams
 STEP = 0.03            # log10 step of a quantised probability
@@ -58,11 +58,18 @@ def _tokens():
 class _Coded:
     """A block's tokens with their corpus counts and word numbers."""
 
-    def __init__(self, lengths: bytes, codes: bytes, flags, gid: np.ndarray, count: np.ndarray):
+    def __init__(self, lengths: bytes, codes: bytes, flags, gid: np.ndarray, count: np.ndarray,
+                 words: int):
         self.lengths = unpack(lengths, np.int32).astype(np.int64)
-        self.w = unpack(codes, np.int32).astype(np.int64)
+        # words are renumbered in the order of their corpus numbers, so sorted
+        # n-grams have small steps
+        order = np.argsort(gid)
+        number = np.empty(len(gid), np.int64)
+        number[order] = np.arange(len(gid))
+        self.w = number[unpack(codes, np.int32)]
         self.trained = np.repeat(np.asarray(flags, bool), self.lengths)
-        self.gid, self.count = gid, count                # by the block's word number
+        gid, count = gid[order], count[order]
+        self.gid, self.count = gid, count                # by the new number
         self.size = len(gid)
         at = runs(self.lengths)
         start = self.size                                # number of the start mark
@@ -72,12 +79,11 @@ class _Coded:
         self.a[at == 0] = -1                             # no word before the start mark
         # the start mark counts once for each training text, like the end
         end = count[self.w[-1]] if len(self.w) else 0
-        self.gid2 = np.concatenate([gid + 1, [0]])       # the start mark is word 0
+        self.gid2 = np.concatenate([gid, [words]])       # the start mark comes after all words
         self.count2 = np.concatenate([count, [end]])
-        self.seen = self.gid2 >= 0
 
     def _unique(self, key: np.ndarray):
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         s = key[order]
         first = np.concatenate([[True], s[1:] != s[:-1]]) if len(s) else np.empty(0, bool)
         return order, first
@@ -110,10 +116,10 @@ class _Coded:
         """Bucket of each n-gram, parts of its context and part number."""
         most = self.count2[b] if order == 2 else np.minimum(self.count2[b], self.count2[a])
         parts = np.maximum(1, -(-(most * buckets) // max(total, 1)))
-        h = mix64((self.gid2[b] + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        h = mix64((self.gid2[b] + 3).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         if order == 3:
-            h = mix64(h + (self.gid2[a] + 1).astype(np.uint64))
-        hw = mix64((self.gid2[w] + 1).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+            h = mix64(h + (self.gid2[a] + 3).astype(np.uint64))
+        hw = mix64((self.gid2[w] + 3).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
         return h, parts, (hw % parts.astype(np.uint64)).astype(np.int64)
 
 
@@ -124,9 +130,9 @@ def _bucket(h: np.ndarray, part: np.ndarray, buckets: int) -> np.ndarray:
 _ASKS = "family int, bucket int, block long, n int, a binary, b binary, w binary, c binary, cb binary"
 
 
-def _coded(row: dict) -> _Coded:
-    return _Coded(row["lengths"], row["codes"], row["flags"], unpack(row["gid"], np.int64),
-                  unpack(row["count"], np.int64))
+def _coded(row: dict, words: int) -> _Coded:
+    return _Coded(row["lengths"], row["codes"], row["flags"], unpack_small(row["gid"]),
+                  unpack_small(row["count"]), words)
 
 
 def _ordered(c: _Coded, order: int, buckets: int, total: int):
@@ -138,82 +144,89 @@ def _ordered(c: _Coded, order: int, buckets: int, total: int):
     return a, b, w, count, gram, h, parts, to, perm
 
 
-def _ask(buckets: int, total: int):
+def _ask(order: int, buckets: int, total: int, words: int):
     names = [c.split()[0] for c in _ASKS.split(", ")]
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                c = _coded(row)
-                for order in (2, 3):
-                    a, b, w, count, _, h, parts, to, perm = _ordered(c, order, buckets, total)
-                    ga = np.where(a >= 0, c.gid2[a], 0)
-                    cols = [ga, c.gid2[b], c.gid2[w], count, c.count2[b]]
-                    cols = [x[perm] for x in cols]
-                    sent = to[perm]
-                    n_real = np.bincount(sent, minlength=buckets)
-                    if order == 3 and (parts > 1).any():
-                        # the block's total of a split context, to each of its parts
-                        split = np.flatnonzero(parts > 1)
-                        key = np.stack([b[split], a[split]])
-                        u, first, inv = np.unique(key, axis=1, return_index=True, return_inverse=True)
-                        tot = np.bincount(inv.ravel(), count[split]).astype(np.int64)
-                        k = parts[split][first]
-                        rep = np.repeat(np.arange(len(k)), k)
-                        p = runs(k)
-                        dest = _bucket(h[split][first][rep], p, buckets)
-                        more = [c.gid2[u[1]][rep], c.gid2[u[0]][rep], np.full(len(rep), TOTAL), tot[rep],
-                                c.count2[u[0]][rep]]
-                        cols = [np.concatenate([x, y]) for x, y in zip(cols, more)]
-                        sent = np.concatenate([sent, dest])
-                        o = np.argsort(sent, kind="stable")
-                        cols, sent = [x[o] for x in cols], sent[o]
-                    cut = np.searchsorted(sent, np.arange(buckets + 1))
-                    out = []
-                    for i in range(buckets):
-                        x, y = cut[i], cut[i + 1]
-                        if y > x:
-                            part = [v[x:y] for v in cols]
-                            out.append((order, i, row["block"], int(n_real[i]),
-                                        pack(part[0]) if order == 3 else b"", pack(np.diff(part[1], prepend=0)),
-                                        pack(part[2]), pack(part[3].astype(np.int32)),
-                                        pack(part[4]) if order == 2 else b""))
-                    if out:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(v, t) for v, t in zip(zip(*out), _ASK_TYPES)], names)
+                c = _coded(row, words)
+                a, b, w, count, _, h, parts, to, perm = _ordered(c, order, buckets, total)
+                ga = np.where(a >= 0, c.gid2[a], 0)
+                cols = [ga, c.gid2[b], c.gid2[w], count, c.count2[b]]
+                cols = [x[perm] for x in cols]
+                sent = to[perm]
+                n_real = np.bincount(sent, minlength=buckets)
+                if order == 3 and (parts > 1).any():
+                    # the block's total of a split context, to each of its parts
+                    split = np.flatnonzero(parts > 1)
+                    key = np.stack([b[split], a[split]])
+                    u, first, inv = np.unique(key, axis=1, return_index=True, return_inverse=True)
+                    tot = np.bincount(inv.ravel(), count[split]).astype(np.int64)
+                    k = parts[split][first]
+                    rep = np.repeat(np.arange(len(k)), k)
+                    p = runs(k)
+                    dest = _bucket(h[split][first][rep], p, buckets)
+                    more = [c.gid2[u[1]][rep], c.gid2[u[0]][rep], np.full(len(rep), TOTAL), tot[rep],
+                            c.count2[u[0]][rep]]
+                    cols = [np.concatenate([x, y]) for x, y in zip(cols, more)]
+                    sent = np.concatenate([sent, dest])
+                    o = np.argsort(sent, kind="stable")
+                    cols, sent = [x[o] for x in cols], sent[o]
+                cut = np.searchsorted(sent, np.arange(buckets + 1))
+                out = []
+                for i in range(buckets):
+                    x, y = cut[i], cut[i + 1]
+                    if y > x:
+                        part = [v[x:y] for v in cols]
+                        out.append((order, i, row["block"], int(n_real[i]),
+                                    pack_small(part[0]) if order == 3 else b"",
+                                    pack_small(np.diff(part[1], prepend=0)),
+                                    pack_small(part[2]), pack_small(part[3]),
+                                    pack_small(part[4]) if order == 2 else b""))
+                if out:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(v, t) for v, t in zip(zip(*out), _ASK_TYPES)], names)
     return run
 
 
 _ASK_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int32()] + [pa.binary()] * 5
 
 
+def _numbered(a: np.ndarray):
+    """Distinct values of an array in order, and each item's number."""
+    new = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.empty(0, np.int64)
+    at = np.zeros(len(a), np.int64)
+    at[new[1:]] = 1
+    return a[new], np.cumsum(at)
+
+
 class Trie:
     """Bigrams or trigrams of a bucket: middle words, their successors, and for
-    order 3 the contexts (middle, first word) with successors by rank."""
+    order 3 the contexts (middle, first word) with successors by rank.  The
+    n-grams come in the order (b, a, w)."""
 
     def __init__(self, order: int, b, a, w, p, weight, path: str):
         self.file = Writer(path)
         self.order = order
-        self.middle, mid = np.unique(b, return_inverse=True)
-        self.words, wid = np.unique(w, return_inverse=True)
+        self.middle, mid = _numbered(b)               # b is in order
+        self.words = np.unique(w)
+        wid = np.searchsorted(self.words, w)
         n = max(len(self.words), 1)
-        pair = np.unique(mid * n + wid)
+        pair = mid * n + wid
+        pair = np.unique(pair) if order == 3 else pair  # in order, each once
         self.next = Siblings(pair // n, pair % n, len(self.middle), self.file)
         if order == 3:
-            self.firsts, fid = np.unique(a, return_inverse=True)
+            self.firsts = np.unique(a)
             f = max(len(self.firsts), 1)
-            ctx = np.unique(mid * f + fid)
+            ctx, at = _numbered(mid * f + np.searchsorted(self.firsts, a))
             self.contexts = Siblings(ctx // f, ctx % f, len(self.middle), self.file)
-            at = np.searchsorted(ctx, mid * f + fid)
+            # ranks among the middle word's successors, in the order of the words
             rank = self.next.rank(mid, wid)
-            o = np.lexsort((rank, at))
-            self.third = Siblings(at[o], rank[o], len(ctx), self.file)
-            self.codes = self.file.add(quantise(p[o]))
-            first = np.searchsorted(at[o], np.arange(len(ctx)))
-            self.weights = self.file.add(quantise(weight[o][first]))
-        else:
-            o = np.argsort(mid * n + wid)
-            self.codes = self.file.add(quantise(p[o]))
+            self.third = Siblings(at, rank, len(ctx), self.file)
+            first = np.flatnonzero(np.diff(at, prepend=-1))
+            self.weights = self.file.add(quantise(weight[first]))
+        self.codes = self.file.add(quantise(p))
 
     @staticmethod
     def _place(known: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -250,10 +263,9 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     n = pdf["n"].to_numpy()
     parts = []
     for a, b, w, c, cb in zip(pdf["a"], pdf["b"], pdf["w"], pdf["c"], pdf["cb"]):
-        b = np.cumsum(unpack(b, np.int64))
-        parts.append((unpack(a, np.int64) if order == 3 else np.zeros(len(b), np.int64), b,
-                      unpack(w, np.int64), unpack(c, np.int32).astype(np.int64),
-                      unpack(cb, np.int64) if order == 2 else np.zeros(len(b), np.int64)))
+        b = np.cumsum(unpack_small(b))
+        parts.append((unpack_small(a) if order == 3 else np.zeros(len(b), np.int64), b, unpack_small(w),
+                      unpack_small(c), unpack_small(cb) if order == 2 else np.zeros(len(b), np.int64)))
     a, b, w, c, cb = (np.concatenate(x) for x in zip(*parts))
     size = np.array([len(p[1]) for p in parts])
     del parts
@@ -307,7 +319,7 @@ def _score(buckets: int, total: int, words: int):
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for row in left.to_dict("records"):
-            c = _coded(row)
+            c = _coded(row, words)
             p1 = (c.count + 1.0) / (total + (words + 1.0))
             base = np.log10(p1)[c.w]
             p = p1[c.w]
@@ -351,7 +363,7 @@ def _joined(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     i = right["i"].to_numpy()
     gid[i], count[i] = right["gid"].to_numpy(), right["count"].to_numpy()
     out = left[["block", "ids", "flags", "lengths", "codes"]].copy()
-    out["gid"], out["count"] = [pack(gid)], [pack(count)]
+    out["gid"], out["count"] = [pack_small(gid)], [pack_small(count)]
     return out
 
 
@@ -390,19 +402,28 @@ def score_documents(docs: DataFrame, trained=None) -> DataFrame:
     local = blocks.select("block", "flags", "lengths", "codes", "words").mapInArrow(
         _train_counts, "block long, i int, word binary, c long")
     vocabulary = staged(local.where("c > 0").groupBy("word").agg(F.sum("c").alias("count"))
-                        .withColumn("gid", F.monotonically_increasing_id()))
+                        .withColumn("_n", F.monotonically_increasing_id()))
     words, total = vocabulary.agg(F.count(F.lit(1)), F.coalesce(F.sum("count"), F.lit(0))).first()
-    known = block_words(blocks).join(vocabulary, "word").select(
+    # dense numbers: the rows of the partitions before, one row per partition
+    part = F.shiftright("_n", 33)
+    sizes = vocabulary.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_k"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_p", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_b"))
+    numbered = vocabulary.join(F.broadcast(sizes), part == F.col("_p")).select(
+        "word", "count", (F.col("_b") + F.col("_n").bitwiseAND(F.lit((1 << 33) - 1))).alias("gid"))
+    known = block_words(blocks).join(numbered, "word").select(
         F.col("block").alias("of"), "i", "gid", "count")
     head = blocks.select("block", "ids", "flags", "lengths", "codes", F.size("words").alias("n"))
     coded = staged(head.groupBy("block").cogroup(known.groupBy("of")).applyInPandas(
         _joined, "block long, ids array<bigint>, flags array<boolean>, lengths binary, codes binary, "
                  "gid binary, count binary"))
     release(blocks, vocabulary)
-    answers = staged(coded.select("block", "flags", "lengths", "codes", "gid", "count")
-                     .mapInArrow(_ask(buckets, total), _ASKS)
-                     .groupBy("family", "bucket").applyInPandas(
-        _answer, "family int, block long, bucket int, code binary, weight binary"))
+    # one order after the other: their n-grams are not on disk at the same time
+    answers = [staged(coded.select("block", "flags", "lengths", "codes", "gid", "count")
+                      .mapInArrow(_ask(order, buckets, total, words), _ASKS)
+                      .groupBy("family", "bucket").applyInPandas(
+        _answer, "family int, block long, bucket int, code binary, weight binary")) for order in (2, 3)]
+    answers = answers[0].unionByName(answers[1])
     out = coded.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
         _score(buckets, total, words), _SCORES)
     return out.select("doc_id", "held_out", "n_tokens", "n_known",

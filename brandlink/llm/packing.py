@@ -22,6 +22,16 @@ def unpack(b: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
 
 
+def pack_small(a: np.ndarray) -> bytes:
+    """Integers in four bytes each where they all fit."""
+    small = not len(a) or (int(a.max()) < 1 << 31 and int(a.min()) >= -(1 << 31))
+    return (b"4" if small else b"8") + pack(a.astype(np.int32 if small else np.int64))
+
+
+def unpack_small(b: bytes) -> np.ndarray:
+    return unpack(b[1:], np.int32 if b[:1] == b"4" else np.int64).astype(np.int64)
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit (in place)."""
     h ^= h >> np.uint64(33)
