@@ -35,7 +35,7 @@ class Config:
     classification_most_relevant_level: int = 2
     # Retailers whose category columns are left out of the category features
     # (the notebooks drop the third catalogue's levels); by position.
-    exclude_retailers: tuple[int, ...] = (2,)
+    exclude_retailers: tuple[int, ...] = ()
     extra: dict = field(default_factory=dict)
 
     @property
@@ -69,7 +69,7 @@ class Config:
             slug_replacements=tuple(tuple(p) for p in d.get("slug_replacements", [["&", "et"]])),
             classification_levels=tuple(int(x) for x in d.get("classification_levels", (0, 1, 2))),
             classification_most_relevant_level=int(d.get("classification_most_relevant_level", 2)),
-            exclude_retailers=tuple(d.get("exclude_retailers", (2,))),
+            exclude_retailers=tuple(d.get("exclude_retailers", ())),
         )
 
     @classmethod

@@ -101,8 +101,8 @@ def distinct_words(arr: ColumnOrName) -> Column:
 
 def remove_stopwords(arr: ColumnOrName, stopwords: Sequence[str] = STOPWORDS) -> Column:
     """Drop words found in the stop list."""
-    stop = F.array(*[F.lit(w) for w in dict.fromkeys(stopwords)])
-    return F.filter(_col(arr), lambda w: ~F.array_contains(stop, w))
+    stop = list(dict.fromkeys(stopwords))  # a literal list: Spark looks words up in a hash set
+    return F.filter(_col(arr), lambda w: ~w.isin(stop))
 
 
 def char_ngrams(c: ColumnOrName, lo: int = 2, hi: int = 5) -> Column:

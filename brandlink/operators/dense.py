@@ -58,14 +58,16 @@ def long_to_dense(weights: DataFrame, max_features: int = 4096) -> tuple[DataFra
 
 
 def pca_reduce(vectors: DataFrame, share: float | None = 0.9, k: int | None = None,
-               max_k: int = 1000, seed: int = 42) -> tuple[DataFrame, int, list[float]]:
+               seed: int = 42) -> tuple[DataFrame, int, list[float]]:
     """V7/V8: centre (mean only), project on the principal components and keep
     ``k`` components, or the smallest number whose cumulative explained
     variance exceeds ``share``.  Returns ``(name, embedding array<double>)``,
     the chosen k and the explained-variance ratios (bounded list)."""
     n_features = vectors.select(F.size(vector_to_array("features"))).first()[0]
     n_rows = vectors.count()
-    kmax = max(1, min(n_features, n_rows, max_k))
+    kmax = max(1, min(n_features, n_rows))
+    if k is not None and k > kmax:
+        raise ValueError(f"{k} components asked for, at most {kmax} exist")
     centred = StandardScaler(withMean=True, withStd=False, inputCol="features",
                              outputCol="centred").fit(vectors).transform(vectors)
     model = PCA(k=kmax, inputCol="centred", outputCol="pca").fit(centred)
@@ -95,15 +97,11 @@ def _unit(df: DataFrame, col: str) -> DataFrame:
 def dense_cosine_pairs(emb: DataFrame, min_similarity: float, name_col: str = "name",
                        vec_col: str = "embedding", method: str = "blocks",
                        block_size: int = 2048, bands: int = 16, rows: int = 8,
-                       seed: int = 42, symmetric: bool = False,
-                       max_exact: int = 200_000) -> DataFrame:
+                       seed: int = 42, symmetric: bool = False) -> DataFrame:
     """Pairs ``left < right`` with cosine >= ``min_similarity``.
 
-    ``method="auto"`` runs the exact blocks up to ``max_exact`` vectors
-    (n^2/2 dot products) and the approximate LSH join beyond."""
+    ``method``: ``blocks`` (exact) or ``lsh`` (approximate); the caller says which."""
     e = _unit(emb.select(F.col(name_col).cast("string").alias("name"), F.col(vec_col)), vec_col)
-    if method == "auto":
-        method = "blocks" if e.count() <= max_exact else "lsh"
     if method == "blocks":
         out = _blocks(e, min_similarity, block_size)
     elif method == "lsh":

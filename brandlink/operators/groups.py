@@ -5,22 +5,17 @@ or group passes through the driver or one task.  Loops cut their lineage
 with reliable checkpoints in the session's checkpoint directory, so a lost
 executor only costs the current round.
 
-Group ids are the smallest member name, so results of different methods and
-runs compare directly.
+Group ids are the smallest member name (of threshold communities: the centre),
+so results of different methods and runs compare directly.
 """
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-log = logging.getLogger(__name__)
-
-
 def _names(pairs: DataFrame, names: DataFrame | None) -> DataFrame:
     n = (pairs.select(F.col("left_side").alias("name"))
          .unionByName(pairs.select(F.col("right_side").alias("name"))))
@@ -38,8 +33,7 @@ def _smallest_member(assign: DataFrame, key: str) -> DataFrame:
 # ---------------------------------------------------------------- G2
 
 def connected_components(pairs: DataFrame, names: DataFrame | None = None,
-                         min_similarity: float | None = None, column: str = "similarity",
-                         max_rounds: int = 200) -> DataFrame:
+                         min_similarity: float | None = None, column: str = "similarity") -> DataFrame:
     """G2 (+G3): transitive groups of the pairs (at or above
     ``min_similarity`` when given); every name of ``names`` and of the pairs
     appears once, alone when unmatched.  Output ``name, group_id``.
@@ -58,7 +52,7 @@ def connected_components(pairs: DataFrame, names: DataFrame | None = None,
     e = cut_lineage(e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
                     .distinct())
     labels = cut_lineage(_names(pairs, names).select("name", F.col("name").alias("label")))
-    for i in range(max_rounds):
+    while True:  # labels only decrease, so this ends at the fixpoint
         nb = (e.join(labels.select(F.col("name").alias("dst"), F.col("label").alias("nl")), "dst")
               .groupBy("src").agg(F.min("nl").alias("nl")))
         l1 = (labels.join(nb, labels.name == nb.src, "left")
@@ -72,8 +66,6 @@ def connected_components(pairs: DataFrame, names: DataFrame | None = None,
         labels = l2.select("name", "label")
         if changed == 0:
             break
-    else:
-        log.warning("connected_components: no fixpoint after %d rounds", max_rounds)
     return labels.select("name", F.col("label").alias("group_id"))
 
 
@@ -81,7 +73,7 @@ def connected_components(pairs: DataFrame, names: DataFrame | None = None,
 
 def ordered_groups(pairs: DataFrame, min_similarity: float = 0.7,
                    names: DataFrame | None = None, column: str = "similarity",
-                   order_col: str | None = None, max_rounds: int = 200) -> DataFrame:
+                   order_col: str | None = None) -> DataFrame:
     """G1 (+G3): the greedy pass over pairs in order, as a parallel plan.
 
     Sequential rule: for a pair at or above the threshold both names take the
@@ -137,7 +129,7 @@ def ordered_groups(pairs: DataFrame, min_similarity: float = 0.7,
         F.max(F.col("side") == "O").alias("is_orphan")))
     forest = ev_parent.select("e", F.when(F.col("is_orphan"), F.lit(None))
                               .otherwise(F.coalesce("pl", "pr")).alias("parent"))
-    roots = _resolve_roots(forest, max_rounds)
+    roots = _resolve_roots(forest)
 
     last = events_occ.groupBy("name").agg(F.max("e").alias("e"))
     assign = last.join(roots, "e").select("name", F.col("root").alias("_g"))
@@ -161,7 +153,9 @@ def previous_in_order(df: DataFrame, key: str, order: str, out: str,
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, key, order).withColumn("_pid", F.spark_partition_id())
+    # written once: two reads of the range exchange would each sample their own
+    # boundaries, and the partition numbers would not agree
+    r = cut_lineage(df.repartitionByRange(n, key, order).withColumn("_pid", F.spark_partition_id()))
     local = r.withColumn(out, F.lag(order).over(Window.partitionBy("_pid", key).orderBy(order)))
     bounds = r.groupBy("_pid", key).agg(F.min(order).alias("_first"), F.max(order).alias("_last"))
     bounds = bounds.withColumn(
@@ -172,10 +166,10 @@ def previous_in_order(df: DataFrame, key: str, order: str, out: str,
     return out_df.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_pid", "_carry")
 
 
-def _resolve_roots(forest: DataFrame, max_rounds: int) -> DataFrame:
+def _resolve_roots(forest: DataFrame) -> DataFrame:
     """Pointer jumping: (e, parent) -> (e, root)."""
     cur = cut_lineage(forest.select("e", F.coalesce("parent", "e").alias("p")))
-    for _ in range(max_rounds):
+    while True:  # a pointer's length doubles each round
         nxt = cur.select(F.col("e").alias("_pe"), F.col("p").alias("_pp"))
         step = cur.join(nxt, cur.p == nxt._pe, "left").select(
             "e", "p", F.coalesce("_pp", "p").alias("np"))

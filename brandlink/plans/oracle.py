@@ -88,7 +88,7 @@ def raw_catalogue(variant: str = "dirty") -> str:
                  "WHEN l_suppkey % 3 = 0 THEN p_brand "
                  "WHEN l_suppkey % 3 = 1 THEN concat(' brand & ', substr(p_brand, 7)) "
                  "ELSE concat('Brând#', substr(p_brand, 7), ' ', p_type) END")
-        where = "WHERE (l_partkey * 7 + (l_suppkey % 3) * 3) % 5 <> 0"
+        where = ""
     else:
         ean = "CAST(l_partkey AS VARCHAR)"
         brand = ("CASE WHEN l_suppkey % 3 = 0 THEN p_brand "

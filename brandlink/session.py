@@ -66,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="brandlink-checkpoint-")
     log.warning("spark.checkpoint.dir is not set; using local folder %s "
                 "(configure a shared folder on a cluster)", local)

@@ -77,7 +77,6 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str, variant: str = "dirty",
     crumb = (F.when(r == 1, F.array(F.col("p_type"), w1))
              .otherwise(F.array(F.col("p_type"), w1, w2)))
     if variant == "dirty":
-        j = j.where((pk * 7 + r * 3) % 5 != 0)
         ean = (F.when(pk % 97 == 0, F.concat(F.lit("X"), pk.cast("string")))
                .when(pk % 89 == 0, F.concat(pk.cast("string"), F.lit("-1")))
                .when(pk % 83 == 0, F.lit("0"))
