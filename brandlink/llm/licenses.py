@@ -21,7 +21,7 @@ from .common import lower_ascii, staged
 
 #: Java expressions: what stands between words; A-Z are lower-cased before.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RARE_WORDS = 6      # index words of a template
+RARE_WORDS = 3      # index words of a template
 MIN_SUPPORT = 2     # index words that must agree on a place
 MIN_COVER = 0.8     # share of the template's words found in their places
 
