@@ -1,9 +1,11 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 A text is cut into words (a space goes with the word after it; a run of more
-than ``WORD`` code points is cut there).  For each distinct word all substrings
-up to the longest piece are exploded and equi-joined to the piece table; the
-joined edges are grouped by word, and a Viterbi fold in Spark's higher-order
+than ``WORD`` code points is cut there, and marks that end a word are cut off
+after a letter that no piece holds before them).  For each distinct word the substrings
+that are as long as a piece can be from there are exploded and equi-joined to
+the piece table, less the pieces that cannot be on a best path; the joined
+edges are grouped by word, and a Viterbi fold in Spark's higher-order
 ``aggregate`` finds the path with the highest sum of piece scores.  Documents
 then take the pieces of their words.  A code point that no piece covers falls
 back to its UTF-8 byte pieces, so decoding gives the text back exactly.
@@ -13,6 +15,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -26,6 +30,7 @@ from .packing import runs, unpack
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 WORD = 48                     # code points of a word
+START = 4                     # substrings longer than this are made where a longer piece starts so
 SPACE = "▁"              # stands for a space in pieces
 _WORDS = re.compile(r" ?[^ \n]{1,%d}|[ \n]" % WORD)
 
@@ -47,16 +52,59 @@ class PieceTable:
                 piece = sp.id_to_piece(i)
                 self.pieces.append((piece, i, float(sp.get_score(i))))
                 self.surface[i] = piece.replace(SPACE, " ").encode()
-        self.longest = max((len(p[0]) for p in self.pieces), default=1)
         self.fallback = min((p[2] for p in self.pieces), default=0.0) - 10.0
+        self.useful = self._useful()
+        self.longest = max((len(p[0]) for p in self.pieces), default=1)
+        self.marks = dict.fromkeys(string.punctuation, "")
+        for a, b in sorted({x for p in self.useful for x in zip(p[0], p[0][1:])}):
+            if b in self.marks and a.isalpha():
+                self.marks[b] += a
+
+    def _useful(self) -> list[tuple[str, int, float]]:
+        """The pieces that can be on a best path.  A piece whose own text has a
+        strictly better path of shorter pieces is on none, in any word."""
+        known, out = {}, []
+        for piece, i, score in sorted(self.pieces, key=lambda p: len(p[0])):
+            best = [0.0]
+            for e in range(1, len(piece) + 1):
+                starts = range(1 if e == len(piece) and e > 1 else 0, e)
+                best.append(max(best[s] + known.get(piece[s:e], self.fallback if e - s == 1 else -np.inf)
+                                for s in starts))
+            if len(piece) == 1 or score >= best[-1]:
+                known[piece] = score
+                out.append((piece, i, score))
+        return out
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.pieces, "piece string, id int, score double")
+        return spark.createDataFrame(self.useful, "piece string, id int, score double")
 
+    def starts(self, spark: SparkSession) -> DataFrame:
+        """``start, longest``: the first ``START`` code points of longer pieces
+        and the length of the longest of them."""
+        longest = {}
+        for piece, _, _ in self.useful:
+            if len(piece) > START:
+                longest[piece[:START]] = max(len(piece), longest.get(piece[:START], 0))
+        return spark.createDataFrame(list(longest.items()), "start string, longest int")
+
+
+def _make_tokens(marks: dict[str, str] | None = None):
+    """Lattice words of a text.  ``marks``: marks, and the letters before them
+    in pieces.  No edge crosses the place between another letter and the mark,
+    so the marks that end a word are cut off there."""
+    marks = marks or {}
+    ends = "".join(marks)
 
-def _make_tokens():
     def tokens(text):
-        return [w.encode() for w in _WORDS.findall(text or "")]
+        out = []
+        for w in _WORDS.findall(text or ""):
+            core = w.rstrip(ends)
+            n = len(core)
+            if 0 < n < len(w) and core[-1].isalpha() and core[-1] not in marks[w[n]]:
+                out += (core.encode(), w[n:].encode())
+            else:
+                out.append(w.encode())
+        return out
     return tokens
 
 
@@ -86,12 +134,14 @@ def encode_words(words: DataFrame, table: PieceTable) -> DataFrame:
     # a mark that is itself in the text must not match the pieces' space
     w = w.withColumn("k", F.translate("t", SPACE + " ", "￿" + SPACE))
     s = w.select("word", "t", "k", F.explode(F.sequence(F.lit(0), F.length("t") - 1)).alias("s"))
+    # both tables have at most as many rows as the given model has pieces
+    s = s.withColumn("start", F.expr(f"substring(k, s + 1, {START})")).join(
+        F.broadcast(table.starts(spark)), "start", "left")
     s = s.select("word", "t", "k", "s", F.explode(F.expr(
-        f"sequence(1, least({table.longest}, length(t) - s))")).alias("n"))
+        f"sequence(1, least(coalesce(longest, {START}), length(t) - s))")).alias("n"))
     s = s.select("word", "s", "n", F.expr("substring(k, s + 1, n)").alias("piece"),
                  F.expr("if(n = 1, -1 - ascii(substring(t, s + 1, 1)), 0)").alias("c"))
-    pieces = table.frame(spark)  # as many rows as the given model has pieces
-    j = s.join(F.broadcast(pieces), "piece", "left").where("id is not null or n = 1")
+    j = s.join(F.broadcast(table.frame(spark)), "piece", "left").where("id is not null or n = 1")
     edge = F.struct((F.col("s") + F.col("n")).alias("e"), "s",
                     F.coalesce("score", F.lit(table.fallback)).alias("score"),
                     F.coalesce("id", "c").alias("id"))
@@ -144,12 +194,12 @@ def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """Per input row ``doc_id, n_chars, n_words, n_pieces, ids, ids_sha256,
     round_trip`` (whether decoding the ids gives the text back).
 
-    ``ids_sha256``: of the ids as little-endian 32-bit integers.  Null and empty
+    ``n_words`` counts the lattice's words.  ``ids_sha256``: of the ids as little-endian 32-bit integers.  Null and empty
     texts have no pieces.  Repeated rows are encoded each; an empty table gives
     no rows.  Equal scores prefer the piece that starts first.
     """
     table = PieceTable(model)
-    blocks = code_blocks(docs, _make_tokens)
+    blocks = code_blocks(docs, partial(_make_tokens, table.marks))
     distinct = block_words(blocks).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     encoded = staged(encode_words(distinct, table))
     known = block_words(blocks).join(encoded, "word").select(F.col("block").alias("of"), "i", "ids")
