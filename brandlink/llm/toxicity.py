@@ -32,15 +32,18 @@ THRESHOLD = 0.5
 STEMS = (5, 6, 7, 8)  # lengths of the word beginnings that count besides whole words
 
 
-def _words(text: Column) -> Column:
-    """Distinct words of a text, and their beginnings (marked by a star)."""
-    words = F.array_distinct(license_words(text))
+def _with_words(df: DataFrame, text: str = "text") -> DataFrame:
+    """Adds ``_tox_words``: distinct words of a text, and their beginnings
+    (marked by a star).  The words are a column of their own, so that the
+    functions over them do not take the text apart once each."""
+    words = F.col("_tox_w")
 
     def stems(n: int) -> Column:
         longer = F.filter(words, lambda w: F.length(w) > n)
         return F.transform(longer, lambda w: F.concat(F.left(w, F.lit(n)), F.lit("*")))
 
-    return F.array_distinct(F.concat(words, *[stems(n) for n in STEMS]))
+    return (df.withColumn("_tox_w", F.array_distinct(license_words(F.col(text))))
+            .withColumn("_tox_words", F.array_distinct(F.concat(words, *[stems(n) for n in STEMS]))).drop("_tox_w"))
 
 
 def telling_words(d: DataFrame, labels: list[str], limit: int = VOCABULARY) -> list[str]:
@@ -72,7 +75,7 @@ class Chain:
 
     def transform(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """Adds ``p_<category>`` for every category; keeps rows and columns."""
-        d = docs.withColumn("_tox_words", _words(F.col(text)))
+        d = _with_words(docs, text)
         d = self.vocabulary.transform(d)
         for k, (name, model) in enumerate(self.models):
             d = _features(d, [c for c, _ in self.models[:k]])
@@ -110,7 +113,7 @@ def fit_chain(labelled: DataFrame, categories=CATEGORIES, max_rows: int = MAX_RO
         d = d.where(hashed < int((1 << 30) * max_rows / total))
     d = d.withColumn("_fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(folds)))
     # copies of a text say no more than one
-    d = d.withColumn("_tox_words", _words(F.col("text"))).withColumn("_tox_t", F.xxhash64("text"))
+    d = _with_words(d).withColumn("_tox_t", F.xxhash64("text"))
     d = staged(d.drop("text").dropDuplicates(["_tox_t"]).drop("_tox_t"))
     last = f"_y_{categories[-1][0]}"
     if d.select(last).distinct().count() < 2:
