@@ -2,11 +2,12 @@
 
 Templates are licence notices and phrases.  The document frequency of every
 template word is counted over all documents; each template is indexed under
-its rarest (highest-IDF) words with their positions.  Every file looks up the
-index words that it holds; a hit at word i of a template word at position p
-proposes the template at offset i - p.  Proposals that agree are intersected,
-and the words at the proposed place are compared with the template and its
-mandatory key phrases.
+its rarest (highest-IDF) words with their positions: as many as it may miss by
+``MIN_COVER`` and ``MIN_SUPPORT`` more, so that enough of them stand in every
+place that the comparison accepts.  Every file looks up the index words that it
+holds; a hit at word i of a template word at position p proposes the template
+at offset i - p.  Proposals that agree are intersected, and the words at the
+proposed place are compared with the template and its mandatory key phrases.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from .common import lower_ascii, staged
 
 #: Java expressions: what stands between words; A-Z are lower-cased before.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RARE_WORDS = 3      # index words of a template
 MIN_SUPPORT = 2     # index words that must agree on a place
 MIN_COVER = 0.8     # share of the template's words found in their places
 
@@ -39,6 +39,11 @@ class Template:
     def __post_init__(self):
         object.__setattr__(self, "words", tuple(re.findall(r"[0-9a-z]+", self.text.lower())))
 
+    def misses(self) -> int:
+        """Words that may differ in a place that is still accepted."""
+        n = len(self.words)
+        return 0 if self.exact else max(m for m in range(n) if (n - m) / n >= MIN_COVER)
+
 
 #: The contract's phrases and labels.
 BASE = (Template("mit", "mit license", exact=True), Template("apache", "apache license", exact=True),
@@ -104,8 +109,10 @@ def scan_licenses(docs: DataFrame, base=BASE, notices=NOTICES) -> DataFrame:
     count = {r["word"]: r["count"] for r in df.collect()}
     postings = []
     for i, t in enumerate(templates):
-        rare = sorted(set(t.words), key=lambda w: (count.get(w, 0), w))[:1 if t.exact else RARE_WORDS]
-        postings += [(i, t.label, t.exact, list(t.words), list(t.keys), min(MIN_SUPPORT, len(rare)), w, p)
+        rare = sorted(set(t.words), key=lambda w: (count.get(w, 0), w))[:1 if t.exact else t.misses() + MIN_SUPPORT]
+        # a template of fewer different words is indexed under all of them: one always stands
+        need = max(1, min(MIN_SUPPORT, len(rare) - t.misses()))
+        postings += [(i, t.label, t.exact, list(t.words), list(t.keys), need, w, p)
                      for p, w in enumerate(t.words) if w in rare]
     index = spark.createDataFrame(postings, "t int, label string, exact boolean, words array<string>, "
                                   "keys array<string>, need int, word string, pos int")

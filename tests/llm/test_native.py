@@ -1,6 +1,8 @@
 """Mixing, syncmers, URL filters, licence scans and quality rules."""
 
 import hashlib
+import random
+import re
 
 import pytest
 from brandlink.llm import licenses, mixing, quality, syncmers, urls
@@ -87,6 +89,42 @@ def test_licences(spark):
     assert got[13][0].labels == "MIT,mit" and got[53][0].labels == ""
 
 
+def accepted_notices(text):
+    """Labels of the notices that the comparison accepts at some place of a text."""
+    w = re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+    out = set()
+    for t in licenses.NOTICES:
+        for off in range(len(w)):
+            there = w[off:off + len(t.words)]
+            cover = sum(a == b for a, b in zip(t.words, there)) / len(t.words)
+            if cover >= licenses.MIN_COVER and all(f" {k} " in f" {' '.join(there)} " for k in t.keys):
+                out.add(t.label)
+    return out
+
+
+def test_edited_licences(spark):
+    """A notice with as many other words as the comparison accepts is found,
+    whichever words they are and however rare the others."""
+    rng = random.Random(4)
+    texts = ["Permission is hereby granted, free of charge, to every person obtaining a copy of this software "
+             "and related documentation files"]
+    for t in licenses.NOTICES:
+        n = len(t.words)
+        for m in range(max(k for k in range(n) if (n - k) / n >= licenses.MIN_COVER) + 2):
+            for _ in range(4):
+                w = list(t.words)
+                for k in rng.sample(range(len(w)), m):
+                    w[k] = f"other{k}"
+                texts.append("before " * rng.randrange(3) + " ".join(w) + " after")
+    # words of the notices that are frequent alone
+    texts += ["this software is free and any person can copy or use the files"] * 9
+    got = by_id(licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"),
+                                       base=()))
+    assert accepted_notices(texts[0]) == {"MIT"}
+    for i, text in enumerate(texts):
+        assert got[i][0].labels == ",".join(sorted(accepted_notices(text))), text
+
+
 def test_quality_counts_and_verdicts(spark):
     rows = awkward_rows()
     got = by_id(quality.judge_quality(frame(spark, rows)))
