@@ -29,8 +29,9 @@ def unit_hashes(text: str) -> Column:
 def anchors(units: str) -> Column:
     """Array of anchor hashes of the unit-hash array column ``units``.
 
-    A text of fewer than ``K`` units has one anchor, its whole unit sequence;
-    a text without units has none.
+    A text of fewer than ``K`` units, or of so few more that no window is a
+    closed syncmer, has one anchor, its whole unit sequence; a text without
+    units has none.
     """
     inner = K - S + 1
     at = [f"get(s, i + {k})" for k in range(inner)]
@@ -39,13 +40,13 @@ def anchors(units: str) -> Column:
     return F.expr(f"""
       case when size({units}) = 0 then array()
       when size({units}) < {K} then array(xxhash64({units}))
-      else filter(transform(
+      else transform(array(filter(transform(
         array(transform(sequence(0, size({units}) - {S}),
               i -> hash({', '.join(f'get({units}, i + {k})' for k in range(S))}))),
         s -> transform(sequence(0, size(s) - {inner}),
              i -> case when {edge} <= {mid}
                   then xxhash64({', '.join(f'get({units}, i + {k})' for k in range(K))}) end))[0],
-        h -> h is not null) end""")
+        h -> h is not null)), a -> if(size(a) = 0, array(xxhash64({units})), a))[0] end""")
 
 
 def sketch(hashes: str) -> Column:

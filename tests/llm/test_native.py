@@ -68,6 +68,18 @@ def test_syncmers_are_context_free(spark):
     assert any(b[i:i + len(a)] == a for i in range(len(b)))
 
 
+def test_syncmers_of_short_texts(spark):
+    """Every text with units has an anchor, so texts that share nothing are not alike."""
+    rows = [(n * 100 + k, " ".join(f"w{n}x{k}x{j}" for j in range(n))) for n in range(9) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    got = df.withColumn("u", syncmers.unit_hashes("text")).withColumn("a", syncmers.anchors("u")).collect()
+    assert all((len(r.a) > 0) == (len(r.u) > 0) for r in got)
+    d = syncmers.with_sketch(df, "text", "f").where("doc_id between 500 and 699")
+    pairs = d.selectExpr("doc_id i", "f a").crossJoin(d.selectExpr("doc_id k", "f b"))
+    like = pairs.select("i", "k", syncmers.likeness("a", "b").alias("l")).collect()
+    assert all(r.l == (1.0 if r.i == r.k else 0.0) for r in like)
+
+
 def test_licences(spark):
     phrases = {"mit": ["mit", "license"], "apache": ["apache", "license"], "gpl": ["general", "public", "license"]}
     import re
