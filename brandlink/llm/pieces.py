@@ -1,12 +1,16 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-A text is cut into words (a space goes with the word after it; a run of more
-than ``WORD`` code points is cut there, and marks that end a word are cut off
-after a letter that no piece holds before them).  For each distinct word the substrings
+A text is cut into words, only between two characters that no piece on a best
+path holds side by side, so the best paths of the words make up the text's (a
+run of spaces goes with the word after it; marks that end a word are cut off
+after a letter that no piece holds before them; runs of more than ``WORD`` code
+points are cut wherever they can be).  For each distinct word the substrings
 that are as long as a piece can be from there are exploded and equi-joined to
 the piece table, less the pieces that cannot be on a best path; the joined
 edges are grouped by word, and a Viterbi fold in Spark's higher-order
-``aggregate`` finds the path with the highest sum of piece scores.  Documents
+``aggregate`` finds the path with the highest sum of piece scores.  A word that
+is still longer than ``WORD`` is folded place by place in its task, which takes
+time in proportion to its length.  Documents
 then take the pieces of their words.  A code point that no piece covers falls
 back to its UTF-8 byte pieces, so decoding gives the text back exactly.
 """
@@ -29,10 +33,12 @@ from .common import staged
 from .packing import runs, unpack
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-WORD = 48                     # code points of a word
+WORD = 48                     # code points of a word that is folded in Spark
 START = 4                     # substrings longer than this are made where a longer piece starts so
 SPACE = "▁"              # stands for a space in pieces
-_WORDS = re.compile(r" ?[^ \n]{1,%d}|[ \n]" % WORD)
+_WORDS = re.compile(r" *[^ \n]+| +|\n")
+#: A mark that is itself in the text must not match the pieces' space.
+_KEYS = str.maketrans(SPACE + " ", "\uffff" + SPACE)
 
 
 class PieceTable:
@@ -56,9 +62,12 @@ class PieceTable:
         self.useful = self._useful()
         self.longest = max((len(p[0]) for p in self.pieces), default=1)
         self.marks = dict.fromkeys(string.punctuation, "")
-        for a, b in sorted({x for p in self.useful for x in zip(p[0], p[0][1:])}):
+        self.pairs = {a + b for p in self.useful for a, b in zip(p[0], p[0][1:])}
+        for a, b in sorted(self.pairs):
             if b in self.marks and a.isalpha():
                 self.marks[b] += a
+        # whether texts may be cut before spaces and around newlines
+        self.spaced = not any("\n" in x or x[1] == SPACE != x[0] for x in self.pairs)
 
     def _useful(self) -> list[tuple[str, int, float]]:
         """The pieces that can be on a best path.  A piece whose own text has a
@@ -88,16 +97,22 @@ class PieceTable:
         return spark.createDataFrame(list(longest.items()), "start string, longest int")
 
 
-def _make_tokens(marks: dict[str, str] | None = None):
+def _make_tokens(marks: dict[str, str], pairs: set[str], spaced: bool):
     """Lattice words of a text.  ``marks``: marks, and the letters before them
     in pieces.  No edge crosses the place between another letter and the mark,
-    so the marks that end a word are cut off there."""
-    marks = marks or {}
+    so the marks that end a word are cut off there.  ``pairs``: the characters
+    that pieces hold side by side; long words are cut between all others.
+    ``spaced``: no piece crosses the places where ``_WORDS`` cuts."""
     ends = "".join(marks)
 
     def tokens(text):
         out = []
-        for w in _WORDS.findall(text or ""):
+        for w in _WORDS.findall(text or "") if spaced else filter(None, [text]):
+            if len(w) > WORD:
+                k = w.translate(_KEYS)
+                cuts = [0, *(i for i in range(1, len(w)) if k[i - 1:i + 1] not in pairs), len(w)]
+                out += [w[a:b].encode() for a, b in zip(cuts, cuts[1:])]
+                continue
             core = w.rstrip(ends)
             n = len(core)
             if 0 < n < len(w) and core[-1].isalpha() and core[-1] not in marks[w[n]]:
@@ -122,6 +137,41 @@ _FOLD = """
       p -> reverse(p.ids)))"""
 
 
+def _best_path(text: str, best: dict[str, tuple[int, float]], longest: int, fallback: float) -> list[int]:
+    """As ``_FOLD``; only the last ``longest`` places' scores are carried on."""
+    k = text.translate(_KEYS)
+    last, starts, ids = [0.0], [0], [0]
+    for e in range(1, len(k) + 1):
+        first = e - len(last)
+        top = start = i = None
+        for s in range(first, e):
+            x = best.get(k[s:e])
+            if x is None:
+                if s < e - 1:
+                    continue
+                x = -1 - ord(text[s]), fallback
+            v = last[s - first] + x[1]
+            if top is None or v > top:
+                top, start, i = v, s, x[0]
+        starts.append(start)
+        ids.append(i)
+        last = [*last[-longest + 1:], top] if longest > 1 else [top]
+    path, e = [], len(k)
+    while e:
+        path.append(ids[e])
+        e = starts[e]
+    return path[::-1]
+
+
+def _fold_long(best, longest, fallback):
+    def run(batches):
+        for batch in batches:
+            words = batch.column(0)
+            ids = [_best_path(w.decode(), best, longest, fallback) for w in words.to_pylist()]
+            yield pa.RecordBatch.from_arrays([words, pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
+    return run
+
+
 def encode_words(words: DataFrame, table: PieceTable) -> DataFrame:
     """``word`` (binary, distinct) -> ``word, ids``.  A negative id -1 - c is
     the code point c without a piece.
@@ -131,7 +181,11 @@ def encode_words(words: DataFrame, table: PieceTable) -> DataFrame:
     """
     spark = words.sparkSession
     w = words.select("word", F.decode("word", "UTF-8").alias("t"))
-    # a mark that is itself in the text must not match the pieces' space
+    long = w.where(F.length("t") > WORD).select("word").mapInArrow(
+        _fold_long({p: (i, v) for p, i, v in table.useful}, table.longest, table.fallback),
+        "word binary, ids array<int>")
+    w = w.where(F.length("t") <= WORD)
+    # as _KEYS
     w = w.withColumn("k", F.translate("t", SPACE + " ", "￿" + SPACE))
     s = w.select("word", "t", "k", F.explode(F.sequence(F.lit(0), F.length("t") - 1)).alias("s"))
     # both tables have at most as many rows as the given model has pieces
@@ -146,7 +200,7 @@ def encode_words(words: DataFrame, table: PieceTable) -> DataFrame:
                     F.coalesce("score", F.lit(table.fallback)).alias("score"),
                     F.coalesce("id", "c").alias("id"))
     return (j.groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-            .select("word", F.expr(_FOLD).alias("ids")))
+            .select("word", F.expr(_FOLD).alias("ids")).unionByName(long))
 
 
 _OUT = "doc_id long, n_chars long, n_words long, n_pieces long, ids array<int>, ids_sha256 string, round_trip boolean"
@@ -199,7 +253,7 @@ def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
     no rows.  Equal scores prefer the piece that starts first.
     """
     table = PieceTable(model)
-    blocks = code_blocks(docs, partial(_make_tokens, table.marks))
+    blocks = code_blocks(docs, partial(_make_tokens, table.marks, table.pairs, table.spaced))
     distinct = block_words(blocks).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     encoded = staged(encode_words(distinct, table))
     known = block_words(blocks).join(encoded, "word").select(F.col("block").alias("of"), "i", "ids")

@@ -221,6 +221,26 @@ def test_pieces(spark):
     assert pieces.encode_documents(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_pieces_of_whole_texts(spark):
+    """The best path of a text is that of a Viterbi over all of it: indentation,
+    long runs without a space and unspaced scripts included."""
+    rng = random.Random(9)
+    some = "".join(chr(rng.choice((rng.randrange(0x3041, 0x30ff), rng.randrange(0x4e00, 0x5000)))) for _ in range(300))
+    letters = "".join(rng.choice("abcdefghijklmnoprstuvwxyzABCDE0123456789+/") for _ in range(2000))
+    words = ["function", "return", "value", "length", "prototype", "international", "(", ");", "{", "=>", "."]
+    texts = ["x\n" + " " * 16 + "return value\n" + " " * 37 + "if (a):  \n" + " " * 100 + "end   ", letters,
+             "see http://example.org/" + letters[:300] + "?q=" + letters[300:400] + ", then  " + some,
+             "".join(rng.choice(words) for _ in range(400)), "#" * 75 + "=" * 130 + "\n\n   \n▁▁ ▁" + "-" * 60,
+             "a" * 47 + "nd" + "international" * 30]
+    got = {r.doc_id: r for r in pieces.encode_documents(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()}
+    table = pieces.PieceTable()
+    best = {p: (i, s) for p, i, s in table.pieces}
+    for i, text in enumerate(texts):
+        assert got[i].ids == viterbi(text, table, best), i
+        assert got[i].round_trip
+
+
 def toxic_rows(n, seed):
     rng = random.Random(seed)
     vocab = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(200)]
