@@ -22,39 +22,31 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 PAIR_SCHEMA = "left_side string, right_side string, similarity double"
 
 
 # ------------------------------------------------------------------- PCA
 
-def long_to_dense(weights: DataFrame, max_features: int = 4096) -> tuple[DataFrame, int]:
-    """Long form ``(name, term, w)`` to ``(name, features vector)``.
-
-    A vocabulary of at most ``max_features`` terms gets exact positions (rank
-    over the distinct terms, a bounded window).  A larger one is hashed into
-    ``max_features`` buckets (colliding weights add up), so the dimension --
-    and PCA's driver-side covariance -- stays bounded however large the
-    vocabulary grows.  Returns (vectors, dimension)."""
-    vocab = weights.select("term").distinct()
-    size = int(vocab.agg(F.count("*")).first()[0])  # one scalar to the driver
-    if size <= max_features:
-        vocab = vocab.withColumn("idx", F.dense_rank().over(Window.orderBy("term")) - 1)
-        indexed = weights.join(vocab, "term")
-        dim = size
-    else:
-        indexed = weights.withColumn("idx", F.pmod(F.xxhash64("term"), F.lit(max_features)))
-        dim = max_features
-    entries = (indexed.groupBy("name", "idx").agg(F.sum("w").alias("w"))
-               .groupBy("name").agg(F.map_from_entries(F.collect_list(
-                   F.struct(F.col("idx").cast("int"), F.col("w").cast("double")))).alias("m")))
-    dense = entries.select("name", F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("arr"))
-    return dense.select("name", array_to_vector("arr").alias("features")), dim
+def long_to_vectors(weights: DataFrame) -> tuple[DataFrame, int]:
+    """Long form ``(name, term, w)`` to ``(name, features)``, sparse vectors.
+
+    Every term has a position of its own (its number in the order of the
+    terms), however many there are.  Returns (vectors, dimension)."""
+    ordered = weights.select("term").distinct().orderBy("term").rdd.zipWithIndex()
+    vocab = cut_lineage(weights.sparkSession.createDataFrame(
+        ordered.map(lambda r: (r[0][0], r[1])), "term string, idx int"))
+    dim = vocab.count()
+    sparse = F.udf(lambda e: Vectors.sparse(dim, [x.idx for x in e], [x.w for x in e]), VectorUDT())
+    entries = weights.join(vocab, "term").groupBy("name", "idx").agg(F.sum("w").cast("double").alias("w"))
+    return entries.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("idx", "w"))).alias("e")).select(
+        "name", sparse("e").alias("features")), dim
 
 
 def pca_reduce(vectors: DataFrame, share: float | None = 0.9, k: int | None = None,
@@ -62,7 +54,8 @@ def pca_reduce(vectors: DataFrame, share: float | None = 0.9, k: int | None = No
     """V7/V8: centre (mean only), project on the principal components and keep
     ``k`` components, or the smallest number whose cumulative explained
     variance exceeds ``share``.  Returns ``(name, embedding array<double>)``,
-    the chosen k and the explained-variance ratios (bounded list)."""
+    the chosen k and the explained-variance ratios.  The covariance and its
+    decomposition (terms x terms) are still made on the driver."""
     n_features = vectors.select(F.size(vector_to_array("features"))).first()[0]
     n_rows = vectors.count()
     kmax = max(1, min(n_features, n_rows))

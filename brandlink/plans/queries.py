@@ -542,10 +542,10 @@ def q_embed_lsh(spark, sf):
 
 
 def _pca(spark, sf, share=0.9, k=None):
-    from ..operators.dense import long_to_dense, pca_reduce
+    from ..operators.dense import long_to_vectors, pca_reduce
 
     w = jobs.ngram_weights(_gold(spark, sf))
-    vecs, _ = long_to_dense(w)
+    vecs, _ = long_to_vectors(w)
     return pca_reduce(vecs, share=share, k=k)
 
 

@@ -1,6 +1,6 @@
 import numpy as np
 
-from brandlink.operators.dense import dense_cosine_pairs
+from brandlink.operators.dense import dense_cosine_pairs, long_to_vectors, pca_reduce
 
 
 def brute(names, m, t):
@@ -29,3 +29,29 @@ def test_blocks_exact_and_lsh_subset(spark):
     lsh = {(r.left_side, r.right_side) for r in
            dense_cosine_pairs(df, 0.6, method="lsh", bands=24, rows=4).collect()}
     assert lsh <= exp and len(lsh) >= 0.9 * len(exp)
+
+
+def test_vectors_keep_every_term_apart(spark):
+    """More terms than 4,096: each has a column of its own."""
+    rows = [(f"n{i % 50}", f"t{i}", float(i + 1)) for i in range(5000)]
+    vectors, dim = long_to_vectors(spark.createDataFrame(rows, "name string, term string, w double"))
+    at = {t: k for k, t in enumerate(sorted(t for _, t, _ in rows))}
+    want = {}
+    for n, t, w in rows:
+        want.setdefault(n, {})[at[t]] = w
+    got = {r.name: dict(zip(r.features.indices.tolist(), r.features.values.tolist())) for r in vectors.collect()}
+    assert dim == 5000 and got == want
+
+
+def test_pca_of_long_form(spark):
+    rng = np.random.default_rng(3)
+    m = rng.random((30, 8)) * (rng.random((30, 8)) < 0.5)
+    rows = [(f"n{i:02d}", f"t{j}", float(m[i, j])) for i, j in zip(*np.nonzero(m))]
+    vectors, _ = long_to_vectors(spark.createDataFrame(rows, "name string, term string, w double"))
+    m = m[m.any(axis=1)]
+    got, k, ratios = pca_reduce(vectors, share=0.9)
+    c = m - m.mean(axis=0)
+    s, v = np.linalg.svd(c)[1:]
+    assert np.allclose(ratios, s ** 2 / (s ** 2).sum())
+    e = np.array([r.embedding for r in got.orderBy("name").collect()])
+    assert np.allclose(np.abs(e), np.abs(m @ v[:k].T - m.mean(axis=0) @ v[:k].T))
