@@ -101,14 +101,14 @@ def _digest(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
-_CLASSES = "doc_id long, n_shingles long, cls binary, bands array<bigint>"
+_CLASSES = "doc_id long, x long, n_shingles long, cls binary, bands array<bigint>"
 
 
 def _classify(width: int, bands: int, rows: int):
     def run(batches):
         shingle = Shingler(width)
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
+            ids, texts, x = batch.column(0), batch.column(1), batch.column(2)
             for at in range(0, len(texts), 512):
                 part = [shingle(t) for t in texts.slice(at, 512).to_pylist()]
                 full = [i for i, s in enumerate(part) if len(s)]
@@ -123,9 +123,9 @@ def _classify(width: int, bands: int, rows: int):
                     for j, i in enumerate(full):
                         cls[i], keys[i] = _digest(part[i]), b[j]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, 512), pa.array([len(s) for s in part], pa.int64()),
+                    [ids.slice(at, 512), x.slice(at, 512), pa.array([len(s) for s in part], pa.int64()),
                      pa.array(cls, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    ["doc_id", "n_shingles", "cls", "bands"])
+                    ["doc_id", "x", "n_shingles", "cls", "bands"])
     return run
 
 
@@ -241,8 +241,20 @@ def near_duplicates(docs: DataFrame, width: int = 3, num: int = 85, den: int = 1
     component only when no id is known there (it is then null and not kept).
     An empty table gives no rows.
     """
+    # from classes to documents: the smallest id of all classes of a component
+    j = grouped(docs, width, num, den)
+    least = j.where(F.col("g").isNotNull()).groupBy("g").agg(F.min("doc_id").alias("least"))
+    out = j.join(least, "g", "left").select(
+        "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+    return out.select("doc_id", "n_shingles", "component_id",
+                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def grouped(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Per input row ``doc_id, x, n_shingles, g``: the hash of its text, and the
+    component of its text (null for a text without words)."""
     bands, rows = band_plan(num / den)
-    d = staged(docs.select("doc_id", "text").mapInArrow(_classify(width, bands, rows), _CLASSES))
+    d = staged(docs.select("doc_id", "text", F.xxhash64("text").alias("x")).mapInArrow(_classify(width, bands, rows), _CLASSES))
     classes = d.where(F.col("cls").isNotNull())
     # one row per class and band; a class repeats its bands in every copy
     member = classes.select("cls", F.explode("bands").alias("key")).distinct()
@@ -281,12 +293,5 @@ def near_duplicates(docs: DataFrame, width: int = 3, num: int = 85, den: int = 1
         links = staged(links.unionByName(more))
     labels = components(links)
 
-    # from classes to documents: the smallest id of all classes of a component,
-    # and of all documents that share an id
-    j = d.join(labels, d.cls == labels.node, "left").select(
-        "doc_id", "n_shingles", F.coalesce("label", "cls").alias("g"))
-    least = j.where(F.col("g").isNotNull()).groupBy("g").agg(F.min("doc_id").alias("least"))
-    out = j.join(least, "g", "left").select(
-        "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
-    return out.select("doc_id", "n_shingles", "component_id",
-                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    return d.join(labels, d.cls == labels.node, "left").select(
+        "doc_id", "x", "n_shingles", F.coalesce("label", "cls").alias("g"))

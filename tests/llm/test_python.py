@@ -281,6 +281,21 @@ def test_pipeline(spark):
     assert docs.where("not round_trip").count() == 0
 
 
+def test_near_duplicate_stage_with_null_and_repeated_ids(spark):
+    def near(name, k):
+        return " ".join([f"{name}{j}" for j in range(80)] + [f"end{name}{k}"])
+    texts = [(None, near("a", 0)), (None, near("a", 1)), (7, near("b", 0)), (7, near("b", 1)), (7, near("b", 1)),
+             (1, near("c", 0)), (8, near("c", 1)), (8, "alone in its id"), (None, near("c", 2)),
+             (9, None), (None, ""), (None, "  "), (3, near("d", 0)), (2, near("d", 1))]
+    rows = [(i, t, "en", "a", 1) for i, t in texts]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicate_stage(
+        spark, spark.createDataFrame(rows, SCHEMA), SF).collect()]
+    groups = [(i, t.split()[0]) for i, t in got if (t or "").strip()]
+    assert sorted(groups, key=str) == sorted(
+        [(None, "a0"), (7, "b0"), (1, "c0"), (8, "alone"), (2, "d0")], key=str)
+    assert sorted((t for _, t in got if not (t or "").strip()), key=str) == ["", "  ", None]
+
+
 def test_repeated_passage_stage_keeps_characters(spark):
     passage = "größere Übung für alle Schüler heißt Fußball und Käse "
     rows = [(1, passage * 2, "de", "a", 1), (2, "ä" + passage * 2 + "ü", "de", "a", 1), (3, "é kurz", "fr", "a", 1),
