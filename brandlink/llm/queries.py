@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, minhash, mixing, ngrams, pieces, quality, suffixes, syncmers, toxicity, urls
+from . import (licenses, minhash, mixing, ngrams, overlap, phrases, pieces, quality, repair, suffixes, syncmers,
+               toxicity, urls)
 from .common import table
 
 
@@ -51,7 +52,20 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf, "documents"))
 
 
+def op11_phrase_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.mine_phrases(table(spark, sf, "documents"))
+
+
+def op12_structure_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return repair.repaired(table(spark, sf, "conversations"))
+
+
+def op13_count_tree(spark: SparkSession, sf: str) -> DataFrame:
+    return overlap.jaccard_groups(table(spark, sf, "documents"))
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_trie_score, op2_sentencepiece, op3_suffix_dedup, op4_license_scan, op5_source_mix, op6_closed_syncmers,
     op7_toxicity_chain, op8_url_filter,
-    op9_circulant_minhash, op10_quality_rules)}
+    op9_circulant_minhash, op10_quality_rules,
+    op11_phrase_tiles, op12_structure_repair, op13_count_tree)}
