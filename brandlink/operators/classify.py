@@ -42,18 +42,31 @@ def stratified_split(df: DataFrame, label: str, keys: Sequence[str], test_size:
     their bucket.  md5 spreads rows evenly over buckets, so no task holds a
     whole class.
     """
+    d = _class_ranked(df, label, keys, seed, bucket_chars)
+    return d.withColumn("is_test", F.col("_rank") <= F.ceil(F.col("_n") * F.lit(test_size))).drop("_rank", "_n")
+
+
+def stratified_folds(df: DataFrame, label: str, keys: Sequence[str], folds: int = 5,
+                     seed: int = 42, bucket_chars: int = 3) -> DataFrame:
+    """Adds ``fold`` (0 ... ``folds`` - 1): rows of a class dealt round robin in
+    the order of ``md5(keys, seed)``, so a class differs by at most one row
+    between folds."""
+    d = _class_ranked(df, label, keys, seed, bucket_chars)
+    return d.withColumn("fold", ((F.col("_rank") - 1) % folds).cast("int")).drop("_rank", "_n")
+
+
+def _class_ranked(df: DataFrame, label: str, keys: Sequence[str], seed: int, bucket_chars: int) -> DataFrame:
+    """Adds ``_rank`` (from 1, in md5 order) and ``_n`` of each row's class."""
     h = F.md5(F.concat_ws("\u001f", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
     d = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, bucket_chars))
     cb = d.groupBy(label, "_b").agg(F.count("*").alias("_nb"))
     wc = Window.partitionBy(label)
     cb = (cb.withColumn("_n", F.sum("_nb").over(wc))
           .withColumn("_off", F.coalesce(F.sum("_nb").over(
-              wc.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-          .withColumn("_ntest", F.ceil(F.col("_n") * F.lit(test_size))))
+              wc.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
     rn = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h"))
-    out = (d.join(cb.select(label, "_b", "_off", "_ntest"), [label, "_b"])
-           .withColumn("is_test", (F.col("_off") + rn) <= F.col("_ntest")))
-    return out.drop("_h", "_b", "_off", "_ntest")
+    out = d.join(cb.select(label, "_b", "_off", "_n"), [label, "_b"])
+    return out.withColumn("_rank", F.col("_off") + rn).drop("_h", "_b", "_off")
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
@@ -113,21 +126,23 @@ def prefix_sums(df: DataFrame, order_col: str, cols: Sequence[str], n_buckets: i
 
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """M8: area under the ROC curve, ties counted half (rank formula)."""
+    """M8: area under the ROC curve, ties counted half (rank formula); null
+    where a class is missing."""
     sc = prefix_sums(_score_counts(df, label, score), "score", ["neg"])
-    return sc.agg((F.sum(F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg")))
-                   / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+    won = F.sum(F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg")))
+    return sc.agg(F.try_divide(won, F.sum("pos") * F.sum("neg")).alias("auc"))
 
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """M9: one point per distinct threshold (score >= threshold is
-    positive), plus the origin; ``fpr, tpr, threshold``."""
+    positive), plus the origin; ``fpr, tpr, threshold``.  The rate of a class
+    without rows is null."""
     sc = prefix_sums(_score_counts(df, label, score), "score", ["pos", "neg"], descending=True)
     totals = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     P = totals.select(F.col("P").cast("double")).scalar()
     N = totals.select(F.col("N").cast("double")).scalar()
-    pts = sc.select(((F.col("neg_before") + F.col("neg")) / N).alias("fpr"),
-                    ((F.col("pos_before") + F.col("pos")) / P).alias("tpr"),
+    pts = sc.select(F.try_divide(F.col("neg_before") + F.col("neg"), N).alias("fpr"),
+                    F.try_divide(F.col("pos_before") + F.col("pos"), P).alias("tpr"),
                     F.col("score").alias("threshold"))
     origin = sc.limit(1).select(F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
                                 F.lit(float("inf")).alias("threshold"))
@@ -147,14 +162,6 @@ def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 # ---------------------------------------------------------------- models
 
-def compact_training_set(df: DataFrame) -> DataFrame:
-    """Persist a training set that several fits read (folds, settings).
-    Cached blocks lost with an executor are recomputed from lineage.
-    Partitioning is left as is: fewer partitions made cross-validated forest
-    searches slower (trees of one fit are built in parallel over partitions)."""
-    return df.persist()
-
-
 def assemble(features: Sequence[str], out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 
@@ -212,26 +219,9 @@ def feature_importances(model, features: Sequence[str]) -> DataFrame:
         .orderBy(F.col("importance").desc())
 
 
-def early_stopping_rounds(train: DataFrame, valid: DataFrame, params: dict, features,
-                          label: str = "target", patience: int = 10) -> int:
-    """Best number of boosting rounds on a validation set with
-    ``patience`` rounds of patience (losses per round are a bounded list)."""
-    pipe = boosted_trees(features, label, **params)
-    model = pipe.fit(train)
-    assembled = model.stages[0].transform(valid)
-    losses = model.stages[-1].evaluateEachIteration(assembled)  # logistic loss
-    best, best_i = float("inf"), 0
-    for i, v in enumerate(losses):
-        if v < best - 1e-12:
-            best, best_i = v, i
-        elif i - best_i >= patience:
-            break
-    return best_i + 1
-
-
 def grid_search(estimator: Pipeline, grid: dict, train: DataFrame, label: str = "target",
                 folds: int = 5, parallelism: int = 4, seed: int = 42, sample: int | None = None):
-    """Cross-validated search by log loss (lower is better).
+    """Cross-validated search of forests by log loss (lower is better).
     ``sample`` draws that many settings from the grid (random search,
     seeded).  Returns the fitted ``CrossValidatorModel`` and a table of
     settings with mean and standard deviation of the fold scores."""
@@ -245,7 +235,7 @@ def grid_search(estimator: Pipeline, grid: dict, train: DataFrame, label: str =
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="logLoss")
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=ev,
                         numFolds=folds, parallelism=parallelism, seed=seed, collectSubModels=False)
-    model = cv.fit(compact_training_set(train))
+    model = cv.fit(train)
     rows = []
     for pm, avg, std in zip(maps, model.avgMetrics, model.stdMetrics or [0.0] * len(maps)):
         rows.append(({p.name: float(v) for p, v in pm.items()}, float(avg), float(std)))

@@ -1,4 +1,4 @@
-"""Dense vectors: PCA reduction and dense cosine pairs.
+"""Dense cosine pairs (V11, V12); the reduction itself is in :mod:`.pca`.
 
 Dense vectors (embeddings, PCA output) share every dimension, so the
 prefix filter of :mod:`.pairs` cannot prune them.  Two strategies:
@@ -21,64 +21,12 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-
 PAIR_SCHEMA = "left_side string, right_side string, similarity double"
 
 
-# ------------------------------------------------------------------- PCA
-
-def long_to_vectors(weights: DataFrame) -> tuple[DataFrame, int]:
-    """Long form ``(name, term, w)`` to ``(name, features)``, sparse vectors.
-
-    Every term has a position of its own (its number in the order of the
-    terms), however many there are.  Returns (vectors, dimension)."""
-    ordered = weights.select("term").distinct().orderBy("term").rdd.zipWithIndex()
-    vocab = cut_lineage(weights.sparkSession.createDataFrame(
-        ordered.map(lambda r: (r[0][0], r[1])), "term string, idx int"))
-    dim = vocab.count()
-    sparse = F.udf(lambda e: Vectors.sparse(dim, [x.idx for x in e], [x.w for x in e]), VectorUDT())
-    entries = weights.join(vocab, "term").groupBy("name", "idx").agg(F.sum("w").cast("double").alias("w"))
-    return entries.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("idx", "w"))).alias("e")).select(
-        "name", sparse("e").alias("features")), dim
-
-
-def pca_reduce(vectors: DataFrame, share: float | None = 0.9, k: int | None = None,
-               seed: int = 42) -> tuple[DataFrame, int, list[float]]:
-    """V7/V8: centre (mean only), project on the principal components and keep
-    ``k`` components, or the smallest number whose cumulative explained
-    variance exceeds ``share``.  Returns ``(name, embedding array<double>)``,
-    the chosen k and the explained-variance ratios.  The covariance and its
-    decomposition (terms x terms) are still made on the driver."""
-    n_features = vectors.select(F.size(vector_to_array("features"))).first()[0]
-    n_rows = vectors.count()
-    kmax = max(1, min(n_features, n_rows))
-    if k is not None and k > kmax:
-        raise ValueError(f"{k} components asked for, at most {kmax} exist")
-    centred = StandardScaler(withMean=True, withStd=False, inputCol="features",
-                             outputCol="centred").fit(vectors).transform(vectors)
-    model = PCA(k=kmax, inputCol="centred", outputCol="pca").fit(centred)
-    ratios = [float(x) for x in model.explainedVariance.toArray()]
-    if k is None:
-        cum, chosen = 0.0, len(ratios)
-        for i, r in enumerate(ratios):
-            cum += r
-            if cum > share:
-                chosen = i + 1
-                break
-        k = chosen
-    k = min(k, kmax)
-    out = model.transform(centred).select(
-        "name", F.slice(vector_to_array("pca"), 1, k).alias("embedding"))
-    return out, k, ratios
-
-
 # --------------------------------------------------------- dense cosine
 
 def _unit(df: DataFrame, col: str) -> DataFrame:

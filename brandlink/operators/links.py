@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql.functions import pandas_udf
 
 from ..session import cut_lineage
 from .catalog import symmetric_closure
+from .pairs import pair_dots, vector_rows
 
 KEYS = ["left_side", "right_side"]
 
@@ -52,22 +54,63 @@ def _tokens(p: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.split(p, " +"), lambda x: x != "")))
 
 
-@pandas_udf(T.IntegerType())
-def _ratio3(need: pd.Series, sect: pd.Series, c12: pd.Series, c21: pd.Series) -> pd.Series:
-    """Max of the three character ratios (stdlib ``difflib``), each
-    ``round(100 * r)`` half to even; equal strings 100, an empty one 0.
-    Rows with ``need`` false are already decided and skipped."""
-    from difflib import SequenceMatcher
+def common_lengths(left: list[str], right: list[str]) -> np.ndarray:
+    """Length of the longest common subsequence of each pair of strings.
+
+    All pairs advance together, a character of the right side at a time: a row
+    of the table is the running maximum of the row before and its matches.
+    Pairs are taken by length, so that short ones are not padded to long ones.
+    """
+    out = np.zeros(len(left), np.int64)
+    order = sorted(range(len(left)), key=lambda i: (len(left[i]), len(right[i])))
+    at = 0
+    while at < len(order):
+        part = [order[at]]
+        while at + len(part) < len(order) and len(part) * (len(left[order[at + len(part)]]) + 1) < _CELLS:
+            part.append(order[at + len(part)])
+        at += len(part)
+        a, b = _code_points([left[i] for i in part], 0), _code_points([right[i] for i in part], 1)
+        row = np.zeros((len(part), a.shape[1] + 1), np.int32)
+        for j in range(b.shape[1]):
+            grown = np.maximum(row[:, 1:], row[:, :-1] + (a == b[:, j:j + 1]))
+            row[:, 1:] = np.maximum.accumulate(grown, axis=1)
+        out[part] = row[:, -1]
+    return out
+
+
+_CELLS = 1 << 20  # cells of a row of the table at most
 
-    def ratio(a: str, b: str) -> int:
-        if a == b:
-            return 100
-        if not a or not b:
-            return 0
-        return int(round(100 * SequenceMatcher(None, a, b).ratio()))
 
-    return pd.Series([max(ratio(s, x), ratio(s, y), ratio(x, y)) if n else 0
-                      for n, s, x, y in zip(need, sect, c12, c21)], dtype="int32")
+def _code_points(strings: list[str], pad: int) -> np.ndarray:
+    """Strings as rows of code points; the pad equals no character (surrogates
+    never stand in a text) and differs between the sides."""
+    out = np.full((len(strings), max(map(len, strings), default=0)), 0xD800 + pad, np.uint32)
+    for i, s in enumerate(strings):
+        out[i, :len(s)] = np.frombuffer(s.encode("utf-32-le"), np.uint32)
+    return out
+
+
+def char_ratios(left: list[str], right: list[str]) -> np.ndarray:
+    """Insertion-deletion ratio 0 .. 100 of each pair: the share of both strings'
+    characters in their longest common subsequence, rounded half to even; an
+    empty string gives 0, two equal ones 100."""
+    total = np.array([len(a) + len(b) for a, b in zip(left, right)], np.int64)
+    empty = np.array([not a or not b for a, b in zip(left, right)], bool)
+    both = common_lengths(left, right)
+    ratio = np.rint(100 * (2 * both / np.maximum(total, 1))).astype(np.int64)
+    same = np.array([a == b for a, b in zip(left, right)], bool)
+    return np.where(same, 100, np.where(empty, 0, ratio))
+
+
+@pandas_udf(T.IntegerType())
+def _ratio3(need: pd.Series, sect: pd.Series, c12: pd.Series, c21: pd.Series) -> pd.Series:
+    """Max of the three character ratios.  Rows with ``need`` false are already
+    decided and skipped."""
+    out = np.zeros(len(need), np.int64)
+    at = np.flatnonzero(need.to_numpy(bool))
+    s, x, y = (c.iloc[at].tolist() for c in (sect, c12, c21))
+    out[at] = np.maximum.reduce([char_ratios(s, x), char_ratios(s, y), char_ratios(x, y)])
+    return pd.Series(out, dtype="int32")
 
 
 def token_set_ratio(left: Column, right: Column) -> Column:
@@ -101,25 +144,16 @@ def with_token_set_ratio(pairs: DataFrame, column: str = "token_set_ratio") -> D
 def pair_cosines(pairs: DataFrame, weights: Mapping[str, DataFrame]) -> DataFrame:
     """Exact cosine of every given pair under several encodings at once.
 
-    All weight tables are stacked with a ``kind`` column, so the candidate
-    pairs are joined to their terms once (two joins, one aggregation) no
-    matter how many encodings; missing = 0.0.
+    A name's entries of all encodings are one vector row, so a pair meets two
+    rows whatever the number of encodings and terms; missing = 0.0.
     """
-    kinds = list(weights)
-    allw = None
-    for k, w in weights.items():
-        part = w.select(F.lit(k).alias("kind"), "name", "term", "w")
+    kinds, allw = list(weights), None
+    for i, k in enumerate(kinds):
+        part = weights[k].select(F.lit(i).alias("kind"), "name", "term", "w")
         allw = part if allw is None else allw.unionByName(part)
-    allw = cut_lineage(allw)  # read for the left and the right terms
-    lw = allw.select("kind", F.col("name").alias("left_side"), "term", F.col("w").alias("wl"))
-    rw = allw.select("kind", F.col("name").alias("right_side"), "term", F.col("w").alias("wr"))
-    p = pairs.select(*KEYS).distinct()
-    dots = (p.join(lw, "left_side").join(rw, ["right_side", "kind", "term"])
-            .groupBy(*KEYS)
-            .agg(*[F.sum(F.when(F.col("kind") == k, F.col("wl") * F.col("wr"))).alias(k)
-                   for k in kinds]))
-    out = pairs.join(dots, KEYS, "left")
-    return out.fillna(0.0, subset=kinds)
+    rows = cut_lineage(vector_rows(allw))  # read for the left and the right sides
+    dots = pair_dots(pairs.select(*KEYS).distinct(), rows, kinds)
+    return pairs.join(dots, KEYS, "left").fillna(0.0, subset=kinds)
 
 
 def pair_features(base: DataFrame, others: Mapping[str, DataFrame],

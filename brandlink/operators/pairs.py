@@ -6,11 +6,14 @@ pairs similarity search", WWW 2007): terms of every name are ordered rare to
 common, and a term is indexed only while the norm of it and all more common
 terms of the name is at least the threshold.  Two unit vectors with cosine
 >= t always share a term that is indexed on both sides, so the candidate set
-is complete; every candidate is then verified with its full dot product.
+is complete.  Candidates are verified on vector rows, one row for each name with
+its terms and weights: a pair meets two rows, not a row for each of its terms.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,26 +43,72 @@ def _with_suffix_norm(weights: DataFrame) -> DataFrame:
     return w.withColumn("suffix", F.sqrt(F.sum(F.col("w") * F.col("w")).over(win)))
 
 
-def candidate_pairs(weights: DataFrame, min_similarity: float) -> DataFrame:
-    """Distinct ``(left_side < right_side)`` pairs that may reach the threshold."""
+def candidate_pairs(weights: DataFrame, min_similarity: float, lefts: DataFrame | None = None) -> DataFrame:
+    """Distinct ``(left_side, right_side)`` pairs that may reach the threshold:
+    ``left_side < right_side``, or, with ``lefts`` (``name``), both orders of the
+    pairs whose left side is one of these names."""
     t = float(min_similarity)
     idx = _with_suffix_norm(weights).where(F.col("suffix") >= t - EPS)
-    a = idx.select(F.col("name").alias("left_side"), "term", F.col("suffix").alias("sa"))
+    first = idx if lefts is None else idx.join(lefts.select("name"), "name", "left_semi")
+    a = first.select(F.col("name").alias("left_side"), "term", F.col("suffix").alias("sa"))
     b = idx.select(F.col("name").alias("right_side"), "term", F.col("suffix").alias("sb"))
-    cond = [a.term == b.term, a.left_side < b.right_side, a.sa * b.sb >= t - EPS]
-    return a.join(b, cond).select("left_side", "right_side").distinct()
+    order = a.left_side < b.right_side if lefts is None else a.left_side != b.right_side
+    return a.join(b, [a.term == b.term, order, a.sa * b.sb >= t - EPS]).select("left_side", "right_side").distinct()
+
+
+def vector_rows(weights: DataFrame) -> DataFrame:
+    """``name, vec``: a name's entries ``(kind, term, w)`` in one row.  ``kind``
+    (0 without such a column) keeps several encodings apart."""
+    kind = F.col("kind") if "kind" in weights.columns else F.lit(0).alias("kind")
+    return weights.groupBy("name").agg(F.collect_list(F.struct(kind, "term", "w")).alias("vec"))
+
+
+def _dots(kinds: int, columns: list[str]):
+    """Dot products of the vector rows of a batch of pairs, all pairs at once:
+    entries of the left and right sides meet by (pair, kind, term)."""
+    def entries(v):
+        n = np.diff(v.offsets.to_numpy())
+        e = v.flatten()
+        return np.repeat(np.arange(len(n)), n), e.field("kind").to_numpy(), e.field("term"), e.field("w").to_numpy()
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                lr, lk, lt, lw = entries(part.column(2))
+                rr, rk, rt, rw = entries(part.column(3))
+                code = pa.concat_arrays([lt, rt]).dictionary_encode()
+                size, code = len(code.dictionary) + 1, code.indices.to_numpy().astype(np.int64)
+                left = (lr * kinds + lk) * size + code[:len(lr)]
+                right = (rr * kinds + rk) * size + code[len(lr):]
+                order = np.argsort(right)
+                right, rw = right[order], rw[order]
+                hit = np.searchsorted(right, left)
+                hit[hit == len(right)] = 0
+                ok = np.flatnonzero(right[hit] == left) if len(right) else np.empty(0, np.int64)
+                total = np.bincount(lr[ok] * kinds + lk[ok], lw[ok] * rw[hit[ok]], minlength=part.num_rows * kinds)
+                total = total.reshape(-1, kinds)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), *[pa.array(total[:, k]) for k in range(kinds)]],
+                    ["left_side", "right_side", *columns])
+    return run
+
+
+def pair_dots(pairs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``left_side, right_side`` and one dot product for each kind of the vector
+    rows (kind i in the i-th column); 0.0 where no term is shared."""
+    left = rows.select(F.col("name").alias("left_side"), F.col("vec").alias("lv"))
+    right = rows.select(F.col("name").alias("right_side"), F.col("vec").alias("rv"))
+    j = pairs.select("left_side", "right_side").join(left, "left_side", "left").join(right, "right_side", "left")
+    none = F.array().cast(rows.schema["vec"].dataType)
+    j = j.select("left_side", "right_side", F.coalesce("lv", none).alias("lv"), F.coalesce("rv", none).alias("rv"))
+    schema = ", ".join(["left_side string, right_side string", *[f"`{c}` double" for c in columns]])
+    return j.mapInArrow(_dots(len(columns), columns), schema)
 
 
 def pair_cosine(pairs: DataFrame, weights: DataFrame, column: str = "similarity") -> DataFrame:
-    """Exact dot product for given distinct pairs; 0.0 when no term is shared.
-    Join order: pair -> left terms -> right weight on (right name, term)."""
-    lw = weights.select(F.col("name").alias("left_side"), "term", F.col("w").alias("wl"))
-    rw = weights.select(F.col("name").alias("right_side"), "term", F.col("w").alias("wr"))
-    p = pairs.select("left_side", "right_side")
-    dots = (p.join(lw, "left_side").join(rw, ["right_side", "term"])
-            .groupBy("left_side", "right_side").agg(F.sum(F.col("wl") * F.col("wr")).alias("_s")))
-    return (p.join(dots, ["left_side", "right_side"], "left")
-            .select("left_side", "right_side", F.coalesce("_s", F.lit(0.0)).alias(column)))
+    """Exact dot product for given distinct pairs; 0.0 when no term is shared."""
+    return pair_dots(pairs, vector_rows(weights), [column])
 
 
 def cosine_pairs(weights: DataFrame, min_similarity: float, symmetric: bool = False,
@@ -72,15 +121,11 @@ def cosine_pairs(weights: DataFrame, min_similarity: float, symmetric: bool = Fa
     """
     if min_similarity <= 0:
         raise ValueError("a positive threshold is required (all pairs would be n^2)")
-    # read four times below: materialise once (reliable checkpoint)
+    # read for the candidates and for the vector rows: materialise once
     keep = ["name", "term", "w"] + (["df"] if "df" in weights.columns else [])
     weights = cut_lineage(weights.select(*keep))
-    lw = weights.select(F.col("name").alias("left_side"), "term", F.col("w").alias("wl"))
-    rw = weights.select(F.col("name").alias("right_side"), "term", F.col("w").alias("wr"))
     cand = candidate_pairs(weights, min_similarity)
-    sims = (cand.join(lw, "left_side").join(rw, ["right_side", "term"])
-            .groupBy("left_side", "right_side").agg(F.sum(F.col("wl") * F.col("wr")).alias("s"))
-            .where(at_least(F.col("s"), min_similarity)))
+    sims = pair_dots(cand, vector_rows(weights), ["s"]).where(at_least(F.col("s"), min_similarity))
     if symmetric:
         sims = cut_lineage(sims)  # thresholded pairs, read twice (both directions)
     out = sims
@@ -96,11 +141,43 @@ def cosine_pairs(weights: DataFrame, min_similarity: float, symmetric: bool = Fa
     return out.select("left_side", "right_side", val.alias(column))
 
 
+#: Cosines at which the search for the best partners tries again with the names
+#: that have too few; below the last, any shared term makes a candidate.
+LADDER = (0.9, 0.7, 0.5, 0.35, 0.2, 0.1, 0.05, 0.0)
+
+
+def top_k_pairs(weights: DataFrame, k: int, column: str = "similarity") -> DataFrame:
+    """O3 as a join: the ``k`` best partners (fewer where fewer share a term) of
+    every name, ties by name; at most k rows for each name.
+
+    A name with k partners at or above a cosine is done: none below can matter.
+    So the threshold steps down, and only names still short of k look again;
+    no table of all similar pairs is made.
+    """
+    keep = ["name", "term", "w"] + (["df"] if "df" in weights.columns else [])
+    weights = cut_lineage(weights.select(*keep))
+    rows = cut_lineage(vector_rows(weights))
+    open_, out = weights.select("name").distinct(), None
+    for t in LADDER:
+        t = t or EPS
+        found = pair_dots(candidate_pairs(weights, t, open_), rows, [column])
+        found = cut_lineage(top_k_per_name(found.where(F.round(column, CMP_DIGITS) >= (t if t > EPS else 0))
+                                           .where(F.col(column) > 0), k, column))
+        full = found.groupBy("left_side").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+        done = full.select(F.col("left_side").alias("name")) if t > EPS else open_
+        part = found.join(done.select(F.col("name").alias("left_side")), "left_side", "left_semi")
+        out = part if out is None else out.unionByName(part)
+        open_ = cut_lineage(open_.join(done, "name", "left_anti"))
+        if not open_.head(1):
+            break
+    return out
+
+
 def top_k_per_name(pairs: DataFrame, k: int, column: str = "similarity") -> DataFrame:
     """O3: the ``k`` most similar partners of every left name (ties by name).
     The ``row_number <= k`` filter is planned as a window group limit, so
     each map task keeps only k rows per name before the shuffle."""
-    w = Window.partitionBy("left_side").orderBy(F.col(column).desc(), F.col("right_side"))
+    w = Window.partitionBy("left_side").orderBy(F.round(column, CMP_DIGITS).desc(), F.col("right_side"))
     return pairs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
 
 

@@ -246,3 +246,36 @@ sql("J7_similarity_outer_join", W(extra=NG + ", " + EMB.replace(NAMES + ", ", ""
       "FULL JOIN nm USING (left_side, right_side)")
 sql("S2_S3_S4_csv_round_trip", SQL["C8_V10_ngram_cosine"])
 sql("O4_preview", W() + " SELECT * FROM gold ORDER BY retailer, product_id LIMIT 5")
+
+# ------------------------------------------------------------ V7, V11, all components
+# x.y of the centred vectors: x.y - x.m - y.m + m.m, with the mean m over the names that have terms
+CENTRED = (NG + ", n AS (SELECT count(DISTINCT name) AS n FROM ng_w), "
+           "m AS (SELECT term, sum(w) / (SELECT n FROM n) AS m FROM ng_w GROUP BY term), "
+           "mm AS (SELECT sum(m * m) AS mm FROM m), "
+           "xm AS (SELECT name, sum(w * m) AS xm, sum(w * w) AS xx FROM ng_w JOIN m USING (term) GROUP BY name), "
+           "len AS (SELECT name, xm, sqrt(greatest(xx - 2 * xm + mm, 0)) AS len FROM xm, mm)")
+sql("V7_pca_all_lengths", W(extra=CENTRED) + f" SELECT name, round(len, {R6}) AS norm FROM len")
+sql("V11_pca_cosine_all", W(extra=CENTRED) + ", dots AS (SELECT a.name AS x, b.name AS y, sum(a.w * b.w) AS d "
+    "FROM ng_w a JOIN ng_w b ON a.term = b.term AND a.name < b.name GROUP BY a.name, b.name), "
+    "c AS (SELECT a.name AS left_side, b.name AS right_side, "
+    "(coalesce(d, 0) - a.xm - b.xm + mm) / (a.len * b.len) AS s "
+    "FROM len a JOIN len b ON a.name < b.name AND a.len > 0 AND b.len > 0 CROSS JOIN mm "
+    "LEFT JOIN dots ON dots.x = a.name AND dots.y = b.name) "
+    f"SELECT left_side, right_side, round(s, {R6}) AS similarity FROM c WHERE round(s, 9) >= 0.3")
+
+# ------------------------------------------------------------ best partners (O3)
+
+
+def best_partners(extra: str, weights: str, k: int = 10) -> str:
+    return (W(extra=extra) + f" SELECT left_side, right_side, round(s, {R6}) AS similarity FROM ("
+            "SELECT *, row_number() OVER (PARTITION BY left_side ORDER BY round(s, 9) DESC, right_side) AS rn FROM ("
+            "SELECT a.name AS left_side, b.name AS right_side, sum(a.w * b.w) AS s "
+            f"FROM {weights} a JOIN {weights} b ON a.term = b.term AND a.name <> b.name GROUP BY a.name, b.name)) "
+            f"WHERE rn <= {k}")
+
+
+sql("C5_O3_category_partners", best_partners(CAT, "cat_w"))
+sql("C6_O3_category_word_partners", best_partners(CATW, "cw_w"))
+sql("C7_O3_embedding_partners", best_partners(EMB, "emb_w"))
+sql("C8_O3_ngram_partners", best_partners(NG, "ng_w"))
+sql("C9_O3_word_partners", best_partners(WD, "wd_w"))

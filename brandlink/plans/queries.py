@@ -260,6 +260,41 @@ def q_topk(spark, sf):
                                 "similarity_sg")
 
 
+def _best(spark, sf, kind, k=10):
+    s = pairs.top_k_pairs(jobs.SIMILARITY_KINDS[kind](_gold(spark, sf)), k)
+    return s.select("left_side", "right_side", _r("similarity"))
+
+
+@query("C5_O3_category_partners")
+def q_cat_best(spark, sf):
+    """The ten best partners of every brand by its categories."""
+    return _best(spark, sf, "similarity_nomenclature")
+
+
+@query("C6_O3_category_word_partners")
+def q_catword_best(spark, sf):
+    """The ten best partners of every brand by its category words."""
+    return _best(spark, sf, "similarity_nomenclatureWords")
+
+
+@query("C7_O3_embedding_partners")
+def q_emb_best(spark, sf):
+    """The ten best partners of every brand by its encoded name."""
+    return _best(spark, sf, "similarity_st")
+
+
+@query("C8_O3_ngram_partners")
+def q_ngram_best(spark, sf):
+    """The ten best partners of every brand by its n-grams."""
+    return _best(spark, sf, "similarity_sg")
+
+
+@query("C9_O3_word_partners")
+def q_word_best(spark, sf):
+    """The ten best partners of every brand by its words."""
+    return _best(spark, sf, "similarity_sgWords")
+
+
 @query("V14_top_distinct_pairs")
 def q_top_pairs(spark, sf):
     s = jobs.similarity_table(_gold(spark, sf), "similarity_sg", 0.2, include_self=False)
@@ -418,8 +453,9 @@ def q_confusion(spark, sf):
 # ------------------------------------------------------------ models
 
 def _train_test(spark, sf):
-    """Labelled candidate pairs with all six features, balanced weights and
-    an exact stratified 70/30 split; materialised once (reliable checkpoint)."""
+    """Labelled candidate pairs with all six features in an exact stratified
+    70/30 split, balanced weights from the training part only; materialised
+    once (reliable checkpoint)."""
     from ..operators.classify import class_weights, stratified_split
     from ..session import cut_lineage
 
@@ -427,15 +463,12 @@ def _train_test(spark, sf):
     # (J2) is the feature table with the rule's target
     f = _features(spark, sf, with_ratio=True)
     data = f.withColumn("target", pair_target()).fillna(0)
-    data = stratified_split(class_weights(data, "target"), "target",
-                            ["left_side", "right_side"], 0.3, 42)
-    data = cut_lineage(data)
-    from ..operators.classify import compact_training_set
-
-    return (compact_training_set(data.where(~F.col("is_test"))),
-            data.where(F.col("is_test")))
+    data = cut_lineage(stratified_split(data, "target", PAIR, 0.3, 42))
+    train = cut_lineage(class_weights(data.where(~F.col("is_test")), "target"))
+    return train, data.where(F.col("is_test"))
 
 
+PAIR = ["left_side", "right_side"]
 RF_FEATURES = ["similarity_sg", "similarity_sgWords", "similarity_st",
                "similarity_nomenclatureWords", "token_set_ratio"]
 
@@ -460,47 +493,112 @@ def q_rf_tuned(spark, sf):
     return feature_importances(model, RF_FEATURES).select("feature", _r("importance"))
 
 
-def _boost_data(spark, sf):
-    from ..operators.classify import positive_scale, scale_weights
+def _boosting(spark, sf):
+    """Training and test pairs, and the default setting with the training
+    part's class scale."""
+    from ..operators.boosting import Setting
+    from ..operators.classify import positive_scale
 
     train, test = _train_test(spark, sf)
     scale = positive_scale(train, "target").first()["scale"]
-    return scale_weights(train, "target", scale), test
+    return train, test, Setting(rounds=100, positive_scale=float(scale))
 
 
-GBT_FINAL = dict(step_size=0.2, max_iter=100, max_depth=8, subsampling_rate=0.8,
-                 feature_subset="0.8", min_info_gain=0.15, min_instances=1)
+#: Fixed values of the staged tuning: what each step leaves behind.
+STAGE_1 = dict(learning_rate=0.1, max_depth=9, subsample=0.8, colsample=0.8)
+STAGE_2 = dict(STAGE_1, max_depth=8)
+STAGE_3 = dict(STAGE_2, gamma=0.15)
+FINAL = dict(STAGE_3, learning_rate=0.2)
 
 
 @query("M12_M18_boosted_trees")
 def q_gbt(spark, sf):
-    from ..operators.classify import FEATURES, boosted_trees, score
+    """The final settings on the training pairs; every test pair with its
+    features, prediction and probabilities (M21)."""
+    from dataclasses import replace
 
-    train, test = _boost_data(spark, sf)
-    model = boosted_trees(FEATURES, **GBT_FINAL).fit(train)
-    out = score(model, test, ["left_side", "right_side", "target"])
-    return out.select("left_side", "right_side", "target", "target_predicted",
-                      _r("proba_0"), _r("proba_1"))
+    from ..operators import boosting
+    from ..operators.classify import FEATURES
+
+    train, test, base = _boosting(spark, sf)
+    model, _ = boosting.fit(train, FEATURES, "target", replace(base, **FINAL), PAIR)
+    out = model.score(test, [*PAIR, *FEATURES, "target"])
+    return out.select(*PAIR, *[_r(c) for c in FEATURES], "target", "target_predicted", _r("proba_0"), _r("proba_1"))
+
+
+def _quality(scored):
+    """(log loss, AUC) of scored pairs; AUC null with one class only."""
+    from ..operators.classify import log_loss, roc_auc
+    from ..session import cut_lineage
+
+    scored = cut_lineage(scored)
+    return (log_loss(scored, "target", "proba_1").first()["log_loss"],
+            roc_auc(scored, "target", "proba_1").first()["auc"])
+
+
+def _rounded(x):
+    return None if x is None else float(round(x, 6))
+
+
+QUALITY = "train_log_loss double, train_auc double, test_log_loss double, test_auc double"
+
+
+@query("M18_staged_refits")
+def q_stages(spark, sf):
+    """The models between the tuning steps, trained together: log loss and AUC on
+    the training and the test pairs."""
+    from dataclasses import replace
+
+    from ..operators import boosting
+    from ..operators.classify import FEATURES
+
+    train, test, base = _boosting(spark, sf)
+    stages = [("depth 9", STAGE_1), ("depth 8", STAGE_2), ("gamma 0.15", STAGE_3), ("rate 0.2", FINAL)]
+    settings = [replace(base, **s) for _, s in stages]
+    t = boosting.Training(train, FEATURES, "target", settings, PAIR)
+    trees, rows = t.fit(), []
+    for i, ((name, _), s) in enumerate(zip(stages, settings)):
+        model = boosting.BoostedModel(trees, i, s, FEATURES, t.edges)
+        marks = [_rounded(x) for d in (train, test) for x in _quality(model.score(d, ["target"]))]
+        rows.append((i + 1, name, *marks))
+    return spark.createDataFrame(rows, f"stage int, setting string, {QUALITY}")
 
 
 @query("M13_early_stopping")
 def q_early(spark, sf):
-    """Best boosting rounds on a validation split carved from the training
-    set (10 rounds of patience), refit, test log loss and AUC."""
-    from ..operators.classify import (FEATURES, boosted_trees, early_stopping_rounds, log_loss,
-                                      roc_auc, score, stratified_split)
-
-    train, test = _boost_data(spark, sf)
-    tv = stratified_split(train.drop("is_test"), "target", ["left_side", "right_side"], 0.2, 7)
-    fit_part, valid = tv.where(~F.col("is_test")), tv.where(F.col("is_test"))
-    best = early_stopping_rounds(fit_part, valid, GBT_FINAL, FEATURES)
-    params = dict(GBT_FINAL, max_iter=best)
-    model = boosted_trees(FEATURES, **params).fit(train)
-    s = score(model, test, ["target"])
-    ll = log_loss(s, "target", "proba_1").first()["log_loss"]
-    auc = roc_auc(s, "target", "proba_1").first()["auc"]
-    return spark.createDataFrame([(best, float(round(ll, 6)), float(round(auc, 6)))],
-                                 "best_rounds int, test_log_loss double, test_auc double")
+    """Boosting that ends by itself after 10 rounds without a better loss on a
+    validation part of the training pairs, with the default and the final
+    settings; rounds grown, best round (which the model is cut to), log loss
+    and AUC."""
+    from dataclasses import replace
+
+    from ..operators import boosting
+    from ..operators.classify import FEATURES, stratified_split
+    from ..session import cut_lineage
+
+    train, test, base = _boosting(spark, sf)
+    train = cut_lineage(stratified_split(train.drop("is_test"), "target", PAIR, 0.2, 7))
+    rows = []
+    for name, s in (("default", {}), ("final", FINAL)):
+        s = replace(base, patience=10, **s)
+        model, _ = boosting.fit(train, FEATURES, "target", s, PAIR, valid="is_test")
+        marks = [_rounded(x) for d in (train, test) for x in _quality(model.score(d, ["target"]))]
+        rows.append((name, model.grown, model.best_round + 1, *marks))
+    return spark.createDataFrame(rows, f"setting string, grown_rounds int, best_rounds int, {QUALITY}")
+
+
+@query("M20_boosted_gain_cover")
+def q_gain_cover(spark, sf):
+    """Gain and cover of every feature over the splits of the final model."""
+    from dataclasses import replace
+
+    from ..operators import boosting
+    from ..operators.classify import FEATURES
+
+    train, _, base = _boosting(spark, sf)
+    _, trees = boosting.fit(train, FEATURES, "target", replace(base, **FINAL), PAIR)
+    out = boosting.importance(trees, FEATURES)
+    return out.select("feature", "splits", *[_r(c) for c in ("gain", "cover", "total_gain", "total_cover")])
 
 
 @query("M11_M19_grid_search")
@@ -542,34 +640,71 @@ def q_embed_lsh(spark, sf):
 
 
 def _pca(spark, sf, share=0.9, k=None):
-    from ..operators.dense import long_to_vectors, pca_reduce
+    from ..operators import pca
 
-    w = jobs.ngram_weights(_gold(spark, sf))
-    vecs, _ = long_to_vectors(w)
-    return pca_reduce(vecs, share=share, k=k)
+    return pca.reduce(jobs.ngram_weights(_gold(spark, sf)), share=share, k=k)
+
+
+def _length(column="embedding"):
+    return F.sqrt(F.aggregate(column, F.lit(0.0), lambda a, x: a + x * x))
 
 
 @query("V7_pca_ngram")
 def q_pca(spark, sf):
     """PCA of the brand n-gram TF-IDF keeping 90% of the variance (signs of
     components are arbitrary: compared by norms, no SQL form)."""
-    emb, k, _ = _pca(spark, sf)
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
-    return emb.select("name", F.lit(k).alias("n_components"), _r_col(norm, "norm"))
+    p = _pca(spark, sf)
+    return p.embedding.select("name", F.lit(p.k).alias("n_components"), F.round(_length(), R6).alias("norm"))
 
 
-def _r_col(c, name):
-    return F.round(c, R6).alias(name)
+@query("V7_pca_all_lengths")
+def q_pca_all(spark, sf):
+    """With every component kept a name's length is that of its centred vector."""
+    p = _pca(spark, sf, share=None)
+    return p.embedding.select("name", F.round(_length(), R6).alias("norm"))
+
+
+@query("V7_pca_encodings")
+def q_pca_encodings(spark, sf):
+    """The share of variance that each encoding's reduction keeps: categories,
+    category words and n-grams 0.9, brand words 0.8."""
+    from ..operators import pca
+    from ..session import cut_lineage
+
+    g = cut_lineage(_gold(spark, sf))
+    rows = []
+    for name, make, share in (("categories", jobs.category_weights, 0.9), ("category words", jobs.category_word_weights, 0.9),
+                              ("n-grams", jobs.ngram_weights, 0.9), ("words", jobs.word_weights, 0.8)):
+        p = pca.reduce(make(g), share=share)
+        rows.append((name, share, p.k, float(round(p.total, 6)), float(round(sum(p.ratios), 6))))
+    return spark.createDataFrame(rows, "encoding string, share double, n_components int, total_variance double, kept double")
 
 
 @query("V8_pca_explained_variance")
 def q_pca_var(spark, sf):
-    _, k, ratios = _pca(spark, sf)
-    cum, rows = 0.0, []
-    for i, r in enumerate(ratios):
+    """Explained variance of the components that keep 90%."""
+    p, cum, rows = _pca(spark, sf), 0.0, []
+    for i, r in enumerate(p.ratios):
         cum += r
-        rows.append((i + 1, float(round(r, 6)), float(round(cum, 6)), i + 1 <= k))
-    return spark.createDataFrame(rows, "component int, ratio double, cumulative double, kept boolean")
+        rows.append((i + 1, float(round(r, 6)), float(round(cum, 6))))
+    return spark.createDataFrame(rows, "component int, ratio double, cumulative double")
+
+
+@query("V8_pca_fixed_650")
+def q_pca_fixed(spark, sf):
+    """650 components (as many as there are where fewer exist) of the word TF-IDF
+    of all documents, and the variance that they explain."""
+    from ..operators import pca
+    from ..session import cut_lineage
+
+    d = table(spark, sf, "documents", spread=True)
+    w = vectors.word_tfidf(d.select(F.col("doc_id").cast("string").alias("name"), X.slug("text").alias("_t")), "name", "_t")
+    w = cut_lineage(w.select("name", "term", "w"))
+    sizes = w.agg(F.countDistinct("name").alias("n"), F.countDistinct("term").alias("d")).first()
+    p = pca.reduce(w, k=min(650, sizes["n"], sizes["d"]))
+    kept = sum(p.ratios)
+    return p.embedding.select("name", F.lit(p.k).alias("n_components"), F.round(F.lit(kept), R6).alias("explained"),
+                              F.round(_length(), R6).alias("norm"))
 
 
 @query("V11_pca_cosine")
@@ -578,8 +713,16 @@ def q_pca_cos(spark, sf):
     centred and truncated, so values differ from the sparse cosine)."""
     from ..operators.dense import dense_cosine_pairs
 
-    emb, _, _ = _pca(spark, sf)
-    s = dense_cosine_pairs(emb, 0.5, method="blocks", block_size=512)
+    s = dense_cosine_pairs(_pca(spark, sf).embedding, 0.5, method="blocks", block_size=512)
+    return s.select("left_side", "right_side", _r("similarity"))
+
+
+@query("V11_pca_cosine_all")
+def q_pca_cos_all(spark, sf):
+    """Cosine >= 0.3 with every component kept: that of the centred vectors."""
+    from ..operators.dense import dense_cosine_pairs
+
+    s = dense_cosine_pairs(_pca(spark, sf, share=None).embedding, 0.3, method="blocks", block_size=512)
     return s.select("left_side", "right_side", _r("similarity"))
 
 
@@ -615,19 +758,68 @@ def q_csv(spark, sf):
     return back.select("left_side", "right_side", _r("similarity_sg"))
 
 
+def _search(spark, sf, fixed, grid, sample=None):
+    """Cross-validated search (5 stratified folds, 100 rounds) around fixed
+    settings; settings and folds are trained together."""
+    from dataclasses import replace
+
+    from ..operators import boosting
+    from ..operators.classify import FEATURES
+
+    train, _, base = _boosting(spark, sf)
+    settings = boosting.settings_of(replace(base, **fixed), grid, sample)
+    out = boosting.search(train, FEATURES, "target", settings, PAIR, list(grid), folds=5)
+    return out.select(*[_r(c) for c in grid], _r("mean_log_loss"), _r("std_log_loss"), "rank")
+
+
 @query("M14_random_search_depth_child")
 def q_random_search(spark, sf):
-    """Random search (10 settings, seeded) over tree depth 3..14 x minimum
-    instances per node 1..5 for boosted trees, 5 folds, by log loss."""
-    from ..operators.classify import FEATURES, boosted_trees, grid_search, param_grid_table
-
-    train, _ = _boost_data(spark, sf)
-    est = boosted_trees(FEATURES, step_size=0.1, max_iter=100, max_depth=5,
-                        subsampling_rate=0.8, feature_subset="0.8", min_info_gain=0.0)
-    _, rows = grid_search(est, {"maxDepth": list(range(3, 15)),
-                                "minInstancesPerNode": list(range(1, 6))},
-                          train, folds=5, parallelism=8, sample=10)
-    return param_grid_table(spark, rows)
+    """10 settings drawn from depth 3..14 x smallest child weight 1..5."""
+    return _search(spark, sf, dict(learning_rate=0.1, subsample=0.8, colsample=0.8),
+                   {"max_depth": range(3, 15), "min_child_weight": range(1, 6)}, sample=10)
+
+
+@query("M15_random_search_gamma")
+def q_search_gamma(spark, sf):
+    """Ten values of gamma, 0.05 to 0.5 (all drawn)."""
+    return _search(spark, sf, STAGE_2, {"gamma": [0.05 * i for i in range(1, 11)]}, sample=10)
+
+
+@query("M16_grid_search_sampling")
+def q_search_sampling(spark, sf):
+    """Row share x column share, 0.6 to 0.9 each: the whole grid of 16."""
+    share = [i / 10 for i in range(6, 10)]
+    return _search(spark, sf, STAGE_3, {"subsample": share, "colsample": share})
+
+
+@query("M17_random_search_rate")
+def q_search_rate(spark, sf):
+    """10 of 30 learning rates, evenly from 0.001 to 1."""
+    return _search(spark, sf, STAGE_3, {"learning_rate": [0.001 + i * 0.999 / 29 for i in range(30)]}, sample=10)
+
+
+@query("M22_rebalanced_auc")
+def q_rebalanced(spark, sf):
+    """Five-fold AUC of boosted trees (50 rounds) fitted on folds whose smaller
+    class was filled up, as it is and with cleaning after; the held-out fold
+    stays untouched."""
+    from ..operators import boosting
+    from ..operators.classify import FEATURES, roc_auc, stratified_folds
+    from ..operators.rebalance import rebalance
+    from ..session import cut_lineage
+
+    train, _ = _train_test(spark, sf)
+    d = cut_lineage(stratified_folds(train.drop("weight"), "target", PAIR, 5))
+    rows = []
+    for method in ("smote", "smote_enn", "smote_tomek"):
+        marks = []
+        for f in range(5):
+            made = cut_lineage(rebalance(d.where(F.col("fold") != f), FEATURES, "target", PAIR, method))
+            model, _ = boosting.fit(made, FEATURES, "target", boosting.Setting(rounds=50), ["id"])
+            marks.append(roc_auc(cut_lineage(model.score(d.where(F.col("fold") == f), ["target"])), "target", "proba_1").first()["auc"])
+        known = [m for m in marks if m is not None]
+        rows.append((method, len(known), _rounded(sum(known) / len(known)) if known else None))
+    return spark.createDataFrame(rows, "method string, folds int, mean_auc double")
 
 
 @query("O4_preview")
@@ -637,6 +829,17 @@ def q_preview(spark, sf):
     return _gold(spark, sf).orderBy("retailer", "product_id").limit(5)
 
 
+def _final_model(spark, sf):
+    from dataclasses import replace
+
+    from ..operators import boosting
+    from ..operators.classify import FEATURES
+
+    train, test, base = _boosting(spark, sf)
+    model, _ = boosting.fit(train, FEATURES, "target", replace(base, **FINAL), PAIR)
+    return model, train, test
+
+
 @query("C13_C14_model_groups")
 def q_model_groups(spark, sf):
     """The end of the original pipeline: boosted trees (final settings)
@@ -644,18 +847,27 @@ def q_model_groups(spark, sf):
     model probabilities and same-item links (1.0) are merged by maximum,
     grouped with the ordered pass at 0.8 (every brand appears), and each
     group gets its canonical name."""
-    from ..operators.classify import FEATURES, boosted_trees, score
+    from ..operators.classify import FEATURES
     from ..session import cut_lineage
 
-    train, test = _boost_data(spark, sf)
-    model = boosted_trees(FEATURES, **GBT_FINAL).fit(train)
+    model, train, test = _final_model(spark, sf)
     g = cut_lineage(_gold(spark, sf))
     # the two splits together are every candidate pair, features included
-    feats = train.drop("weight").unionByName(test.drop("weight"))
-    scored = score(model, feats, ["left_side", "right_side"]).select(
-        "left_side", "right_side", F.col("proba_1").alias("similarity"))
+    feats = train.select(*PAIR, *FEATURES).unionByName(test.select(*PAIR, *FEATURES))
+    scored = model.score(feats, PAIR).select(*PAIR, F.col("proba_1").alias("similarity"))
     lk = links.constant_score(links.same_item_links(g), 1.0)
     ev = cut_lineage(links.merge_evidence(scored, lk))
     grp = groups.ordered_groups(ev, 0.8, jobs.brand_names(g))
     counts = catalog.brand_product_counts(g).withColumnRenamed("brand_desc_slug", "name")
     return groups.pick_identifier(grp, counts)
+
+
+@query("C13_test_groups")
+def q_test_groups(spark, sf):
+    """Groups from the test pairs' predictions alone: the ordered pass at 0.8 over
+    the model's probabilities, most likely first."""
+    from ..session import cut_lineage
+
+    model, _, test = _final_model(spark, sf)
+    scored = cut_lineage(model.score(test, PAIR).select(*PAIR, F.col("proba_1").alias("similarity")))
+    return groups.ordered_groups(scored, 0.8)

@@ -129,3 +129,18 @@ def test_previous_in_order_large(spark):
         got = groups.previous_in_order(df, "key", "o", "p", partitions=16)
         bad = got.join(want.select("o", "w"), "o").where(~F.col("p").eqNullSafe(F.col("w"))).count()
         assert bad == 0 and got.count() == 200_000
+
+
+def test_components_of_a_long_path_and_a_hub(spark, monkeypatch):
+    """100,000 names each, in a logarithmic number of rounds."""
+    n, rounds = 100_000, []
+    real = groups.cut_lineage
+    monkeypatch.setattr(groups, "cut_lineage", lambda d: rounds.append(1) or real(d))
+    ids = spark.range(n)
+    path = ids.selectExpr("id as a", "id + 1 as b")
+    hub = ids.selectExpr(f"{2 * n} + {n} as a", f"{2 * n} + id as b")
+    both = path.unionByName(hub)
+    got = groups.star_labels(both)
+    sizes = {r.label: r["count"] for r in got.groupBy("label").count().collect()}
+    assert sizes == {0: n + 1, 2 * n: n + 1}
+    assert len(rounds) < 60

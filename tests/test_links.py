@@ -1,10 +1,29 @@
-from difflib import SequenceMatcher
+import random
 
 from pyspark.sql import functions as F
 
 from brandlink.operators import links
 
 
+def lcs(x, y):
+    row = [0] * (len(y) + 1)
+    for c in x:
+        row = [0] + [max(row[j + 1], row[j] + 1) if c == d else row[j + 1] for j, d in enumerate(y)]
+        for j in range(1, len(row)):
+            row[j] = max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_character_ratio_equals_brute_force():
+    rng = random.Random(0)
+    text = lambda: "".join(rng.choice("abcé 日") for _ in range(rng.choice([0, 1, 3, 20, 90])))
+    pairs = [(text(), text()) for _ in range(600)] + [("same", "same"), ("", ""), ("x" * 3000, "yx" * 1000)]
+    left, right = map(list, zip(*pairs))
+    assert links.common_lengths(left, right).tolist() == [lcs(a, b) for a, b in pairs]
+    want = [100 if a == b else 0 if not a or not b else round(100 * (2 * lcs(a, b) / (len(a) + len(b)))) for a, b in pairs]
+    assert links.char_ratios(left, right).tolist() == want
+
+
 def model_tsr(a, b):
     import re
 
@@ -17,7 +36,7 @@ def model_tsr(a, b):
             return 100
         if not x or not y:
             return 0
-        return int(round(100 * SequenceMatcher(None, x, y).ratio()))
+        return int(round(100 * 2 * lcs(x, y) / (len(x) + len(y))))
 
     p1, p2 = proc(a), proc(b)
     if not p1 or not p2:

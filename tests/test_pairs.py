@@ -61,3 +61,36 @@ def test_top_k(spark):
                               "left_side string, right_side string, similarity double")
     got = [r.right_side for r in pairs.top_k_per_name(p, 2).orderBy("right_side").collect()]
     assert got == ["b", "c"]
+
+
+def test_best_partners_equal_brute_force(spark):
+    rows = random_unit_rows(random.Random(5), 60, 25)
+    rows += [("far", "t1", 0.01), ("far", "only", math.sqrt(1 - 0.01 ** 2)), ("alone", "none", 1.0)]
+    rows += [(f"same{i}", "t0", 1.0) for i in range(6)]  # ties
+    sims = brute_force(rows, 1e-12)
+    best = {}
+    for (a, b), s in sims.items():
+        if s > 0:
+            best.setdefault(a, []).append((-round(s, 9), b))
+            best.setdefault(b, []).append((-round(s, 9), a))
+    w = spark.createDataFrame(rows, "name string, term string, w double")
+    for k in (1, 4):
+        got = {}
+        for r in pairs.top_k_pairs(w, k).collect():
+            got.setdefault(r.left_side, []).append((-round(r.similarity, 9), r.right_side))
+        assert {n: sorted(v) for n, v in got.items()} == {n: sorted(v)[:k] for n, v in best.items()}
+
+
+def test_dots_by_kind(spark):
+    rows = [("a", "x", 0, .6), ("a", "x", 1, .5), ("b", "x", 0, .5), ("b", "y", 1, 1.0), ("c", "x", 1, 2.0)]
+    w = spark.createDataFrame(rows, "name string, term string, kind int, w double")
+    asked = spark.createDataFrame([("a", "b"), ("c", "a"), ("a", "nobody")], "left_side string, right_side string")
+    got = {(r.left_side, r.right_side): (r.p, r.q) for r in pairs.pair_dots(asked, pairs.vector_rows(w), ["p", "q"]).collect()}
+    assert got == {("a", "b"): (.3, 0.0), ("c", "a"): (0.0, 1.0), ("a", "nobody"): (0.0, 0.0)}
+
+
+def test_no_row_for_each_pair_and_term(spark):
+    """Verification joins vector rows: nothing is grouped by pair after them."""
+    w = spark.createDataFrame(random_unit_rows(random.Random(1)), "name string, term string, w double")
+    plan = pairs.cosine_pairs(w, 0.5)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "collect_list" in plan and "sum(" not in plan.split("MapInArrow")[0]
