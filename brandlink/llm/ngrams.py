@@ -2,8 +2,8 @@
 
 A trigram model with Dirichlet smoothing: p(w | h) = (c(hw) + mu p(w | h')) /
 (c(h) + mu), down to the additive unigram.  It is stored in interpolated form:
-every bigram and trigram keeps c(hw) / (c(h) + mu) in one byte, every trigram
-context its weight mu / (c(h) + mu) in one byte.
+every bigram and trigram keeps c(hw) / (c(h) + mu), every trigram context its
+weight mu / (c(h) + mu), as a step of a fixed grid in two bytes.
 
 Documents are coded in blocks.  Each block counts its n-grams and sends them to
 buckets by context (a frequent context is split further by the next word, and
@@ -38,13 +38,15 @@ TOTAL = -1             # stands for the word in the row of a split context's tot
 
 def quantise(p: np.ndarray) -> np.ndarray:
     """0 for nothing, else 1 + the steps below 1 (rounded down to a smaller
-    probability, so quantised distributions never sum to more than one)."""
+    probability, so quantised distributions never sum to more than one).  Two
+    bytes reach down to 10^-1966, below what any count can give."""
     with np.errstate(divide="ignore"):
         k = np.ceil(np.round(-np.log10(p) / STEP, 9))
-    return np.where(p > 0, np.minimum(k + 1, 255), 0).astype(np.uint8)
+    return np.where(p > 0, k + 1, 0).astype(np.uint16)
 
 
-_VALUES = np.concatenate([[0.0], 10.0 ** (-STEP * np.arange(255))])
+def value(code: np.ndarray) -> np.ndarray:
+    return np.where(code > 0, 10.0 ** (-STEP * (code.astype(float) - 1)), 0.0)
 
 
 def _tokens():
@@ -79,8 +81,9 @@ class _Coded:
         self.a[at == 0] = -1                             # no word before the start mark
         # the start mark counts once for each training text, like the end
         end = count[self.w[-1]] if len(self.w) else 0
-        self.gid2 = np.concatenate([gid, [words]])       # the start mark comes after all words
-        self.count2 = np.concatenate([count, [end]])
+        # the start mark comes after all words; then one mark for all unknown words
+        self.gid2 = np.concatenate([gid, [words, words + 1]])
+        self.count2 = np.concatenate([count, [end, 0]])
 
     def _unique(self, key: np.ndarray):
         order = np.argsort(key)
@@ -89,20 +92,25 @@ class _Coded:
         return order, first
 
     def grams(self, order: int):
-        """Distinct n-grams of known words: (a, b, w) by block number, the
-        training count, and for each token its n-gram (-1: none)."""
-        ok = (self.count2[self.w] > 0) & ((self.count2[self.b] > 0))
+        """Distinct n-grams: (a, b, w) by block number, the training count, and
+        for each token its n-gram (-1: none).  Words of the context are known
+        ones; an unknown last word asks for a trigram context's weight."""
+        known = self.count2[self.w] > 0
+        ok = self.count2[self.b] > 0
         if order == 3:
             ok &= self.a >= 0
             ok[ok] = self.count2[self.a[ok]] > 0
+        else:
+            ok &= known
+        last = np.where(known, self.w, self.size + 1)
         tok = np.flatnonzero(ok)
-        n = self.size + 1
-        key = self.b[tok] * n + self.w[tok]
+        n = self.size + 2
+        key = self.b[tok] * n + last[tok]
         if order == 3:
             o, first = self._unique(self.b[tok] * n + self.a[tok])
             ctx = np.empty(len(tok), np.int64)
             ctx[o] = np.cumsum(first) - 1
-            key = ctx * n + self.w[tok]
+            key = ctx * n + last[tok]
         o, first = self._unique(key)
         which = np.cumsum(first) - 1
         count = np.bincount(which, self.trained[tok][o], minlength=int(first.sum())).astype(np.int64)
@@ -110,7 +118,7 @@ class _Coded:
         gram = np.full(len(self.w), -1, np.int64)
         gram[tok[o]] = which
         a = self.a[rep] if order == 3 else np.full(len(rep), -1, np.int64)
-        return a, self.b[rep], self.w[rep], count, gram
+        return a, self.b[rep], last[rep], count, gram
 
     def route(self, order: int, a, b, w, buckets: int, total: int):
         """Bucket of each n-gram, parts of its context and part number."""
@@ -236,7 +244,7 @@ class Trie:
 
     def search(self, b, a, w):
         """(probability code, context weight code) of each n-gram; 0: absent."""
-        code, weight = np.zeros(len(b), np.uint8), np.zeros(len(b), np.uint8)
+        code, weight = np.zeros(len(b), np.uint16), np.zeros(len(b), np.uint16)
         mid, wid = self._place(self.middle, b), self._place(self.words, w)
         if self.order == 2:
             ok = np.flatnonzero((mid >= 0) & (wid >= 0))
@@ -258,6 +266,16 @@ class Trie:
         return code, weight
 
 
+def _merge_order(b: np.ndarray, a: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Order by (b, a, w): numbers below 2^31 go into one key in two steps, the
+    context and then the context's rank with the word."""
+    if len(b) and max(int(x.max()) for x in (a, b, w)) >= 1 << 31:
+        return np.lexsort((w, a, b))
+    context = (b << 32) + a + 1
+    known = np.unique(context)
+    return np.argsort((np.searchsorted(known, context) << 32) + w + 1, kind="stable")
+
+
 def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     order = int(pdf["family"].iloc[0])
     n = pdf["n"].to_numpy()
@@ -270,8 +288,9 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     size = np.array([len(p[1]) for p in parts])
     del parts
     real = runs(size) < np.repeat(n, size)
-    # contexts, then n-grams, numbered in the order (b, a, w)
-    o = np.lexsort((w, a, b))
+    # contexts, then n-grams, numbered in the order (b, a, w); each block's part
+    # is a sorted run, which a stable sort of one key merges
+    o = _merge_order(b, a, w)
     a, b, w, c, cb, real = a[o], b[o], w[o], c[o], cb[o], real[o]
     new_ctx = np.concatenate([[True], (b[1:] != b[:-1]) | (a[1:] != a[:-1])])
     new = new_ctx | np.concatenate([[True], w[1:] != w[:-1]])
@@ -293,11 +312,11 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
         # a known context without a known successor here still has its weight
         kept = np.flatnonzero((uw != TOTAL) & (count > 0))
         lone = np.flatnonzero((uw == TOTAL) & (whole > 0)) if order == 3 else kept[:0]
-        lone_w = np.zeros(len(ub), np.uint8)
+        lone_w = np.zeros(len(ub), np.uint16)
         trie = Trie(order, ub[kept], ua[kept], uw[kept], p[kept], weight[kept], os.path.join(folder, "levels"))
         code, wcode = trie.search(ub, ua, uw)
         if len(lone):  # weights of split contexts, for n-grams that this part hasn't seen
-            by_ctx = np.zeros(int(ctx[-1]) + 1, np.uint8)
+            by_ctx = np.zeros(int(ctx[-1]) + 1, np.uint16)
             by_ctx[uctx[lone]] = quantise(weight[lone])
             lone_w = by_ctx[uctx]
         wcode = np.maximum(wcode, lone_w)
@@ -326,23 +345,23 @@ def _score(buckets: int, total: int, words: int):
             # bigrams, for every token whose word before is known
             for order in (2, 3):
                 a, b, w, _, gram, h, parts, to, perm = _ordered(c, order, buckets, total)
-                code, weight = np.zeros(len(b), np.uint8), np.zeros(len(b), np.uint8)
+                code, weight = np.zeros(len(b), np.uint16), np.zeros(len(b), np.uint16)
                 cut = np.searchsorted(to[perm], np.arange(buckets + 1))
                 mine = right[right["family"] == order]
                 for i, x, y in zip(mine["bucket"], mine["code"], mine["weight"]):
                     at = perm[cut[i]:cut[i + 1]]
-                    code[at] = unpack(x, np.uint8)
+                    code[at] = unpack(x, np.uint16)
                     if order == 3:
-                        weight[at] = unpack(y, np.uint8)
+                        weight[at] = unpack(y, np.uint16)
                 if order == 2:
                     whole = c.count2[c.b].astype(float)
                     p = p * (MU[0] / (whole + MU[0]))
                     ok = gram >= 0
-                    p[ok] += _VALUES[code[gram[ok]]]
+                    p[ok] += value(code[gram[ok]])
                 else:
                     ok = np.flatnonzero(gram >= 0)
                     g = gram[ok]
-                    p[ok] = _VALUES[code[g]] + np.where(weight[g] > 0, _VALUES[weight[g]], 1.0) * p[ok]
+                    p[ok] = value(code[g]) + np.where(weight[g] > 0, value(weight[g]), 1.0) * p[ok]
             starts = np.cumsum(c.lengths) - c.lengths
             sums = [np.add.reduceat(v, starts) for v in
                     (base, np.log10(p), (c.count[c.w] > 0).astype(np.int64))]
