@@ -1,6 +1,6 @@
 """Mixing sources to target weights.
 
-Every document gets a hash-random key (md5 of its id).  Within each source the
+Every document gets a hash-random key (md5 of its id and text).  Within each source the
 documents stand in key order; distributed prefix sums of their token counts
 say where each one starts, and the source is cut at its exact budget.  A
 budget beyond the source's size takes whole epochs first.
@@ -52,12 +52,21 @@ def mix(docs: DataFrame, weights=(5, 2, 1), cap: float = 3.0, size: Column | Non
     words only, so each source's words sum to its rounded target exactly.
 
     Null text or source: size 0, the null source (last).  An empty table gives
-    no rows.  Rows that repeat a doc_id are mixed each on its own, in the order
-    of their sizes.  Documents of size 0 take 0.
+    no rows.  Rows that repeat a doc_id are mixed each on its own; rows equal in
+    id and text follow each other.  Documents of size 0 take 0.
     """
+    return _taken(docs, weights, cap, size, seed).drop("row")
+
+
+def _taken(docs: DataFrame, weights, cap: float, size: Column | None = None, seed: str = "mix",
+           whole_rows: bool = False) -> DataFrame:
+    """As :func:`mix`, with the input row as the struct ``row`` (null without
+    ``whole_rows``), so that nothing is joined back by an id."""
     size = F.size(space_words(F.col("text"))).cast("long") if size is None else size
-    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    d = staged(docs.select("doc_id", "source", size.alias("size"), key.alias("key"))
+    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
+                         F.coalesce("text", F.lit(""))))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if whole_rows else F.lit(None).cast("int")
+    d = staged(docs.select("doc_id", "source", size.alias("size"), key.alias("key"), row.alias("row"))
                .withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS)))
     per_bucket = staged(d.groupBy("source", "bucket").agg(F.sum("size").alias("bsum")))
     targets = source_targets(per_bucket.groupBy("source").agg(F.sum("bsum").alias("source_size")),
@@ -74,7 +83,7 @@ def mix(docs: DataFrame, weights=(5, 2, 1), cap: float = 3.0, size: Column | Non
     j = (d.alias("d").join(start.alias("b"),
                            F.col("d.source").eqNullSafe(F.col("b.source"))
                            & (F.col("d.bucket") == F.col("b.bucket")))
-         .select("doc_id", "d.source", "size", "source_size", "target",
+         .select("doc_id", "d.source", "size", "source_size", "target", "row",
                  (F.col("before") + F.col("bstart")).alias("before")))
     budget = F.round("target").cast("long")
     whole = F.when(F.col("source_size") > 0, F.expr("cast(round(target) as bigint) div source_size")
@@ -82,18 +91,15 @@ def mix(docs: DataFrame, weights=(5, 2, 1), cap: float = 3.0, size: Column | Non
     rest = budget - whole * F.col("source_size")
     last = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
     return j.select("doc_id", "source", "size", "source_size", "target",
-                    (F.col("size") * whole + last).cast("long").alias("taken"))
+                    (F.col("size") * whole + last).cast("long").alias("taken"), "row")
 
 
 def mixed_documents(docs: DataFrame, weights=(5, 2, 1), cap: float = 3.0) -> DataFrame:
     """The documents of the mix: one row per epoch that takes at least half of
     the document (the budget's last document is taken whole or not at all).
     Documents without words follow no budget: each stays once."""
-    m = mix(docs, weights, cap)
+    m = _taken(docs, weights, cap, whole_rows=True)
     copies = F.when(F.col("size") == 0, F.lit(1)).otherwise(
         F.floor((F.col("taken") * 2 + F.col("size")) / (F.col("size") * 2)).cast("int"))
-    m = m.select(F.col("doc_id").alias("_id"), copies.alias("_copies")).where("_copies > 0").distinct()
-    m = m.groupBy("_id").agg(F.max("_copies").alias("_copies"))
-    return (docs.join(m, F.col("doc_id").eqNullSafe(F.col("_id")))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .drop("_id", "_copies", "_copy"))
+    m = m.select("row", copies.alias("copies")).where("copies > 0")
+    return m.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -5,7 +5,7 @@ WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 OP5 = rf"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len({WORDS}), 0)::BIGINT AS size,
-         md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS key
+         md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS key
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size,
              (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS k FROM d GROUP BY source),
