@@ -101,14 +101,15 @@ def votes() -> dict[str, Column]:
     }
 
 
-def fit_label_model(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100,
+def fit_label_model(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 10_000,
                     smooth: float = 1.0) -> tuple[float, list[dict[int, tuple[float, float]]]]:
     """EM over (vote pattern, count): prior of good, and for each rule and vote
     the smoothed P(vote | good), P(vote | bad).
 
     There are at most 3 ** rules patterns, whatever the corpus.  It starts from
     the votes' sum in which a bad vote counts three times: bad texts fail in
-    different ways, so most rules abstain on each of them.  No documents: a prior of one half and rules
+    different ways, so most rules abstain on each of them.  It runs until no posterior
+    moves, and raises if that takes more than ``rounds``.  No documents: a prior of one half and rules
     that say nothing.
     """
     m = len(patterns[0][0]) if patterns else 0
@@ -136,9 +137,9 @@ def fit_label_model(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 1
             z = math.log(prior / (1 - prior)) + sum(math.log(t[v][0] / t[v][1]) for t, v in zip(tables, x))
             new.append(1 / (1 + math.exp(-max(-50.0, min(50.0, z)))))
         if max((abs(a - b) for a, b in zip(new, post)), default=0) < 1e-9:
-            break
+            return prior, tables
         post = new
-    return prior, tables
+    raise RuntimeError(f"the label model has not settled in {rounds} rounds")
 
 
 def judge_quality(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
