@@ -7,6 +7,7 @@ import re
 import pytest
 from brandlink.llm import licenses, mixing, quality, syncmers, urls
 from cases import SCHEMA, SPACE_WORD, awkward_rows, frame, lower
+from pyspark.sql import functions as F
 
 
 def by_id(df):
@@ -195,3 +196,15 @@ def test_empty_tables(spark):
     assert mixing.mix(d).count() == 0 and syncmers.fingerprint_documents(d).count() == 0
     assert licenses.scan_licenses(d).count() == 0 and quality.judge_quality(d).count() == 0
     assert urls.judge_urls(spark.createDataFrame([], "page_id int, url string")).count() == 0
+
+
+def test_mixed_documents_without_ids_meet_their_targets(spark):
+    """Null and repeated ids: rows are taken one by one, not by id."""
+    rng = random.Random(4)
+    rows = [(None if i % 3 else 7, " ".join(f"w{rng.randint(0, 99)}" for _ in range(10)), "en", "a" if i < 300 else "b", 1)
+            for i in range(400)]
+    d = frame(spark, rows).withColumn("_id", F.lit(1))
+    got = {r.source: r.n for r in mixing.mixed_documents(d).groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("n")).collect()}
+    want = {r.source: r.t for r in mixing.mix(d).groupBy("source").agg(F.max("target").alias("t")).collect()}
+    assert all(abs(got[k] - want[k]) <= 10 for k in want)
+    assert mixing.mixed_documents(d).columns == d.columns

@@ -179,12 +179,37 @@ def test_scores(spark):
             assert r.held_out == (not trained(i)) and r.train_tokens == n and r.n_tokens == len(t) - 1
             assert r.n_known == sum(c[x] > 0 for x in t[1:])
             assert abs(r.base_score - base) < 1e-6
-            assert abs(r.score - score) <= 2 * ngrams.STEP * (len(t) - 1)
+            # two steps of the grid for each token, always down
+            assert -2 * ngrams.STEP * (len(t) - 1) - 1e-6 <= r.score - score <= 1e-6
     assert ngrams.score_documents(spark.createDataFrame([], SCHEMA)).count() == 0
     none = ngrams.score_documents(frame(spark, rows[:3]), F.lit(False)).collect()
     assert all(r.score == r.base_score == 0 and r.n_known == 0 for r in none)
 
 
+def test_scores_of_unknown_words_in_known_contexts(spark):
+    """The context's weight is paid whether its next word is known or not."""
+    train = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 7 != 2][:1000]
+    held = next(i for i in range(2000) if zlib.crc32(str(i).encode()) % 7 == 2)
+    rows = [(i, "alpha beta gamma", "en", "a", 1) for i in train]
+    rows += [(held, "alpha beta zzz", "en", "a", 1)]
+    got = {r.doc_id: r.score for r in ngrams.score_documents(frame(spark, rows)).collect()}
+    n, v, (m2, m3) = 4000, 4, ngrams.MU
+    one = lambda c: (c + 1) / (n + v + 1)
+    two = lambda c, h, p: (c + m2 * p) / (h + m2)
+    three = lambda c, h, p: (c + m3 * p) / (h + m3)
+    want = [two(1000, 1000, one(1000)), three(1000, 1000, two(1000, 1000, one(1000))),
+            three(0, 1000, two(0, 1000, one(0))),            # zzz after alpha beta
+            two(0, 0, one(1000))]                             # the end after zzz
+    assert -2 * ngrams.STEP * 3 - 1e-9 <= got[held] - sum(map(math.log10, want)) <= 1e-9
+
+
+def test_quantised_probabilities_are_never_above():
+    p = 10.0 ** -np.random.default_rng(0).uniform(0, 40, 5000)
+    v = ngrams.value(ngrams.quantise(p))
+    assert (v <= p * (1 + 1e-12)).all() and (np.log10(p / v) <= ngrams.STEP + 1e-9).all()
+    assert ngrams.quantise(np.array([0.0, 1.0])).tolist() == [0, 1]
+
+
 def viterbi(word, table, best):
     k = word.replace(pieces.SPACE, "￿").replace(" ", pieces.SPACE)
     a = [(0.0, 0, 0)]
@@ -304,3 +329,27 @@ def test_repeated_passage_stage_keeps_characters(spark):
         spark, spark.createDataFrame(rows, SCHEMA), SF).collect()}
     assert out[1].text == rows[0][1] and out[2].text == "äü" and out[3].text == "é kurz" and out[4].text is None
     assert out[2].n_chars == 2
+
+
+def test_toxicity_without_evidence(spark):
+    """Labels that have nothing to do with the words, most of them toxic: the chain abstains."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(f"w{rng.randint(0, 300)}" for _ in range(40)), "en", "a", 1) for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, int(rng.random() < .6)) for i in range(200)], "doc_id long, quality int, toxic int")
+    got = toxicity.judge_toxicity(frame(spark, rows), labels)
+    assert got.where("is_toxic").count() == 0 and got.where("p_toxic is not null").count() == 0
+
+
+def test_toxicity_leaves_the_documents_columns(spark):
+    train = toxic_rows(200, 1)
+    d = frame(spark, [r[:2] + ("en", "a", 1) for r in train]).withColumn("is_toxic", F.lit("mine"))
+    labels = spark.createDataFrame([(r[0], 1, r[4]) for r in train], "doc_id long, quality int, toxic int")
+    twice = labels.unionByName(labels.withColumn("toxic", F.lit(0)))  # the larger label counts
+    got = toxicity.judge_toxicity(d, twice, prefix="out_")
+    assert got.where("is_toxic = 'mine'").count() == len(train) and got.where("out_is_toxic").count() > 0
+
+
+def test_near_duplicates_of_short_ids(spark):
+    rows = [(1, "a b c d"), (2, "a b c d"), (None, "x y z w")]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(1, 1, True), (2, 1, False), (None, None, False)}
