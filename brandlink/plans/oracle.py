@@ -172,3 +172,38 @@ def pair_cosine_sql(pairs: str, weights: str, column: str) -> str:
             f"FROM {pairs} p LEFT JOIN {weights} a ON a.name = p.left_side "
             f"LEFT JOIN {weights} b ON b.name = p.right_side AND b.term = a.term "
             f"GROUP BY p.left_side, p.right_side")
+
+
+# ------------------------------------------------------------ token-set ratio
+
+def _common_length(x: str, y: str) -> str:
+    """Longest common subsequence: a table row for each character of ``x``, the
+    running maximum of the row before and its matches."""
+    row = ("list_prepend(0, list_transform(range(1, length({y}) + 1), lambda j: list_max(list_transform("
+           "range(1, j + 1), lambda k: greatest(acc.r[k + 1], acc.r[k] + "
+           "CASE WHEN substr({y}, k, 1) = e.c THEN 1 ELSE 0 END)))))").format(y=y)
+    return (f"list_max(list_reduce(list_prepend({{'c': '', 'r': list_transform(range(length({y}) + 1), lambda i: 0)}}, "
+            f"list_transform(string_split({x}, ''), lambda ch: {{'c': ch, 'r': [0]}})), "
+            f"lambda acc, e: {{'c': e.c, 'r': {row}}}).r)")
+
+
+def _char_ratio(x: str, y: str) -> str:
+    return (f"CASE WHEN {x} = {y} THEN 100 WHEN {x} = '' OR {y} = '' THEN 0 ELSE "
+            f"round_even(100 * (2 * {_common_length(x, y)} / (length({x}) + length({y}))), 0) END")
+
+
+def token_set_ctes(pairs: str) -> str:
+    """CTE ``tsr(left_side, right_side, token_set_ratio)`` for the pairs of a table."""
+    clean = ("trim(lower(regexp_replace(regexp_replace({c}, '[^\\x00-\\x7F]', '', 'g'), '[^A-Za-z0-9_]', ' ', 'g')))")
+    toks = "list_sort(list_distinct(list_filter(string_split({p}, ' '), lambda w: w <> '')))"
+    return (
+        f"tp AS (SELECT left_side, right_side, {clean.format(c='left_side')} AS p1, {clean.format(c='right_side')} AS p2 FROM {pairs}), "
+        f"tt AS (SELECT *, {toks.format(p='p1')} AS t1, {toks.format(p='p2')} AS t2 FROM tp), "
+        "td AS (SELECT *, list_filter(t1, lambda w: list_contains(t2, w)) AS sect, "
+        "list_filter(t1, lambda w: NOT list_contains(t2, w)) AS d12, list_filter(t2, lambda w: NOT list_contains(t1, w)) AS d21 FROM tt), "
+        "ts AS (SELECT *, array_to_string(sect, ' ') AS s, trim(array_to_string(list_concat(sect, d12), ' ')) AS c12, "
+        "trim(array_to_string(list_concat(sect, d21), ' ')) AS c21 FROM td), "
+        "tsr AS (SELECT left_side, right_side, CAST(CASE WHEN p1 = '' OR p2 = '' THEN 0 "
+        "WHEN len(sect) > 0 AND (len(d12) = 0 OR len(d21) = 0) THEN 100 ELSE "
+        f"greatest({_char_ratio('s', 'c12')}, {_char_ratio('s', 'c21')}, {_char_ratio('c12', 'c21')}) END AS INTEGER) "
+        "AS token_set_ratio FROM ts)")

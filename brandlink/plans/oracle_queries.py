@@ -279,3 +279,22 @@ sql("C6_O3_category_word_partners", best_partners(CATW, "cw_w"))
 sql("C7_O3_embedding_partners", best_partners(EMB, "emb_w"))
 sql("C8_O3_ngram_partners", best_partners(NG, "ng_w"))
 sql("C9_O3_word_partners", best_partners(WD, "wd_w"))
+
+# ------------------------------------------------------------ token-set ratio
+FEAT6 = FEAT + ", " + o.token_set_ctes("cand") + ", feat6 AS (SELECT * FROM feat JOIN tsr USING (left_side, right_side))"
+sql("L2_token_set_ratio", W(extra=FEAT6) + " SELECT left_side, right_side, token_set_ratio FROM tsr")
+sql("L3_C11_pair_features_with_ratio", W(extra=FEAT6) + " SELECT left_side, right_side, "
+    + ", ".join(f"round({c}, {R6}) AS {c}" for c in _ALL_SIMS) + ", token_set_ratio FROM feat6")
+_SIX = _ALL_SIMS + ["token_set_ratio"]
+sql("A9_correlation_of_six_features", W(extra=FEAT6) + " " + " UNION ALL ".join(
+    f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, round(corr({a}, {b}), {R6}) AS corr FROM feat6"
+    for i, a in enumerate(_SIX) for b in _SIX[i + 1:]))
+
+# ------------------------------------------------------------ lemmas in the category words (X11)
+_all_words = f"SELECT DISTINCT unnest(string_split(lower(level{_lv}), ' ')) AS f FROM gold"
+_lemmas = f"list_transform({_words}, lambda w: coalesce(m[substr(w, 1, 1)], w))"
+LEMMA = (f"lm AS (SELECT map_from_entries(list((i, l))) AS m FROM (SELECT substr(f, 1, 1) AS i, min(f) AS l "
+         f"FROM ({_all_words}) WHERE f <> '' GROUP BY 1)), "
+         + CATW.replace(_words, _lemmas).replace("FROM docs0 GROUP BY name", "FROM docs0, lm GROUP BY name, m"))
+sql("X11_C6_lemmatised_cosine", W(extra=LEMMA) + " " +
+    o.cosine_pairs_sql("cw_w", 0.2, True, True, "similarity"))

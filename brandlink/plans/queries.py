@@ -239,6 +239,23 @@ def q_catword_cos(spark, sf):
     return s.select("left_side", "right_side", _r("similarity_nomenclatureWords"))
 
 
+@query("X11_C6_lemmatised_cosine")
+def q_lemma_cos(spark, sf):
+    """Cosine >= 0.2 of the category words after a dictionary (X11); its stand-in
+    is made of the catalogue's own words: a word's lemma is the first word of
+    the alphabet with the same initial."""
+    from ..session import cut_lineage
+
+    g = cut_lineage(_gold(spark, sf))
+    level = F.lower(f"level{CFG.classification_most_relevant_level}")
+    forms = g.select(F.explode(F.split(level, " ")).alias("form")).where("form <> ''").distinct()
+    lemmas = forms.groupBy(F.left("form", F.lit(1)).alias("initial")).agg(F.min("form").alias("lemma"))
+    lemmas = forms.join(lemmas, F.left("form", F.lit(1)) == F.col("initial")).select("form", "lemma")
+    docs = vectors.category_words(g, CFG, lemmas=lemmas)
+    s = pairs.cosine_pairs(vectors.word_tfidf(docs, "name", "level_slug"), 0.2, symmetric=True, include_self=True)
+    return s.select("left_side", "right_side", _r("similarity"))
+
+
 @query("C7_V9_embedding_cosine")
 def q_emb_cos(spark, sf):
     s = jobs.similarity_table(_gold(spark, sf), "similarity_st", 0.5)
@@ -320,15 +337,30 @@ def q_features(spark, sf):
 
 @query("L2_token_set_ratio")
 def q_ratio(spark, sf):
-    """Token-set ratio of every candidate pair (difflib ratio: no SQL form)."""
+    """Token-set ratio of every candidate pair."""
     f = _features(spark, sf)
     return links.with_token_set_ratio(f.select("left_side", "right_side"))
 
 
+@query("L3_C11_pair_features_with_ratio")
+def q_features_ratio(spark, sf):
+    """All six features of every candidate pair."""
+    f = _features(spark, sf, with_ratio=True)
+    return f.select("left_side", "right_side", *[_r(c) for c in SIM_COLS], "token_set_ratio")
+
+
 @query("A9_feature_correlation")
 def q_corr(spark, sf):
-    f = _features(spark, sf)
-    pairs_ = [(a, b) for i, a in enumerate(SIM_COLS) for b in SIM_COLS[i + 1:]]
+    return _correlations(_features(spark, sf), SIM_COLS)
+
+
+@query("A9_correlation_of_six_features")
+def q_corr_six(spark, sf):
+    return _correlations(_features(spark, sf, with_ratio=True), [*SIM_COLS, "token_set_ratio"])
+
+
+def _correlations(f, columns):
+    pairs_ = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
     agg = f.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs_)])
     rows = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs_))
     out = agg.selectExpr(f"stack({len(pairs_)}, {rows}) AS (feature_1, feature_2, corr)")
