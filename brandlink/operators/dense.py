@@ -11,8 +11,9 @@ prefix filter of :mod:`.pairs` cannot prune them.  Two strategies:
   Work is n^2 dot products -- the semantics of an all-pairs threshold.
 * ``lsh`` (approximate, for n beyond exact reach): random-hyperplane
   signatures (Charikar 2002) cut into bands; vectors sharing a band bucket
-  become candidates and are verified exactly.  Recall depends on
-  ``bands x rows`` and the threshold; pairs can be missed.
+  become candidates and are verified exactly.  The bits of a band grow with
+  the logarithm of the number of vectors, so a bucket stays small, and the
+  bands are as many as the wanted recall of a pair at the threshold needs.
 """
 
 from __future__ import annotations
@@ -37,16 +38,19 @@ def _unit(df: DataFrame, col: str) -> DataFrame:
 
 def dense_cosine_pairs(emb: DataFrame, min_similarity: float, name_col: str = "name",
                        vec_col: str = "embedding", method: str = "blocks",
-                       block_size: int = 2048, bands: int = 16, rows: int = 8,
-                       seed: int = 42, symmetric: bool = False) -> DataFrame:
+                       block_size: int = 2048, recall: float = 0.95,
+                       bands: int | None = None, rows: int | None = None, seed: int = 42, symmetric: bool = False) -> DataFrame:
     """Pairs ``left < right`` with cosine >= ``min_similarity``.
 
-    ``method``: ``blocks`` (exact) or ``lsh`` (approximate); the caller says which."""
+    ``method``: ``blocks`` (exact) or ``lsh`` (approximate); the caller says which.
+    ``recall``: for ``lsh`` the chance to find a pair that is just at the
+    threshold; ``bands`` and ``rows`` (bits of a band) override what follows from it."""
     e = _unit(emb.select(F.col(name_col).cast("string").alias("name"), F.col(vec_col)), vec_col)
     if method == "blocks":
         out = _blocks(e, min_similarity, block_size)
     elif method == "lsh":
-        out = _lsh(e, min_similarity, bands, rows, seed)
+        planned = band_plan(e.count(), min_similarity, recall) if bands is None or rows is None else (bands, rows)
+        out = _lsh(e, min_similarity, *planned, seed)
     else:
         raise ValueError(method)
     if symmetric:
@@ -85,6 +89,16 @@ def _blocks(e: DataFrame, t: float, block_size: int) -> DataFrame:
     return rep.groupBy("ba", "bb").applyInPandas(block_pair, PAIR_SCHEMA)
 
 
+def band_plan(n: int, t: float, recall: float) -> tuple[int, int]:
+    """(bands, bits of a band): log2(n) bits, and bands until a pair at cosine
+    ``t`` shares one with the chance ``recall``."""
+    if not 0 < recall < 1:
+        raise ValueError("recall lies between 0 and 1")
+    rows = max(1, round(math.log2(max(n, 2))))
+    hit = (1 - math.acos(max(-1.0, min(1.0, t))) / math.pi) ** rows
+    return (1 if hit >= recall else math.ceil(math.log(1 - recall) / math.log(1 - hit))), rows
+
+
 def _lsh(e: DataFrame, t: float, bands: int, rows: int, seed: int) -> DataFrame:
     dim = e.select(F.size("v")).first()[0]
     planes = np.random.default_rng(seed).standard_normal((bands * rows, dim))

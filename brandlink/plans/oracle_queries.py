@@ -298,3 +298,18 @@ LEMMA = (f"lm AS (SELECT map_from_entries(list((i, l))) AS m FROM (SELECT substr
          + CATW.replace(_words, _lemmas).replace("FROM docs0 GROUP BY name", "FROM docs0, lm GROUP BY name, m"))
 sql("X11_C6_lemmatised_cosine", W(extra=LEMMA) + " " +
     o.cosine_pairs_sql("cw_w", 0.2, True, True, "similarity"))
+
+# ------------------------------------------------------------ ordered groups (G1): the pass itself, a step for each pair
+ORDERED = (NG + ", gp AS (SELECT left_side AS l, right_side AS r, round(s, 9) AS s FROM (SELECT a.name AS left_side, "
+           "b.name AS right_side, sum(a.w * b.w) AS s FROM ng_w a JOIN ng_w b ON a.term = b.term AND a.name < b.name "
+           "GROUP BY a.name, b.name) WHERE round(s, 9) >= 0.2), "
+           "go AS (SELECT *, row_number() OVER (ORDER BY s DESC, l, r) AS i FROM gp), "
+           "st(i, m, n) AS (SELECT CAST(0 AS BIGINT), CAST(MAP {} AS MAP(VARCHAR, BIGINT)), CAST(0 AS BIGINT) UNION ALL "
+           "SELECT go.i, CASE WHEN s >= 0.7 THEN map_concat(m, MAP {l: coalesce(m[l], m[r], n + 1), "
+           "r: coalesce(m[l], m[r], n + 1)}) ELSE map_concat(MAP {l: n + 1, r: n + 2}, m) END, n + 2 "
+           "FROM st JOIN go ON go.i = st.i + 1), "
+           "fin AS (SELECT unnest(map_entries(m)) AS e FROM (SELECT m FROM st ORDER BY i DESC LIMIT 1)), "
+           "got AS (SELECT e.key AS name, e.value AS g FROM fin UNION ALL SELECT name, -row_number() OVER () FROM bn "
+           "WHERE name NOT IN (SELECT e.key FROM fin))")
+sql("G1_ordered_groups", W(extra=ORDERED, recursive=True)
+    + " SELECT name, min(name) OVER (PARTITION BY g) AS group_id FROM got")

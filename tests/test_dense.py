@@ -1,6 +1,6 @@
 import numpy as np
 
-from brandlink.operators.dense import dense_cosine_pairs
+from brandlink.operators.dense import band_plan, dense_cosine_pairs
 
 
 def brute(names, m, t):
@@ -29,3 +29,20 @@ def test_blocks_exact_and_lsh_subset(spark):
     lsh = {(r.left_side, r.right_side) for r in
            dense_cosine_pairs(df, 0.6, method="lsh", bands=24, rows=4).collect()}
     assert lsh <= exp and len(lsh) >= 0.9 * len(exp)
+
+
+def test_lsh_meets_its_recall(spark):
+    """Bits grow with log n, bands with the recall; join rows stay far below all pairs."""
+    rng = np.random.default_rng(11)
+    base = rng.standard_normal((60, 32))
+    m = np.vstack([base[i % 60] + .5 * rng.standard_normal(32) for i in range(900)])
+    names = [f"v{i:04d}" for i in range(900)]
+    df = spark.createDataFrame([(n, [float(x) for x in row]) for n, row in zip(names, m)],
+                               "name string, embedding array<double>")
+    exp = brute(names, m, 0.7)
+    got = {(r.left_side, r.right_side) for r in dense_cosine_pairs(df, 0.7, method="lsh", recall=.95).collect()}
+    assert got <= exp and len(got) >= .95 * len(exp) and len(exp) > 1000
+    assert [band_plan(n, .7, .95)[1] for n in (2, 1000, 1_000_000)] == [1, 10, 20]
+    assert band_plan(1000, .7, .99)[0] > band_plan(1000, .7, .9)[0]
+    bands, rows = band_plan(100_000, .7, .95)
+    assert bands / 2 ** rows < .1   # the share of unrelated pairs that meet
