@@ -222,6 +222,13 @@ def test_jaccard_groups_ties_and_nulls(spark):
     assert {r.component_id for r in overlap.jaccard_groups(small).collect()} == {1}
 
 
+def test_likely_keeps_all_partners(spark):
+    keys = spark.range(0, 5000, 7).selectExpr("cast(id as string) as k")
+    got = {int(r.k) for r in overlap.likely(spark.range(5000).selectExpr("cast(id as string) as k"), "k", keys).collect()}
+    assert set(range(0, 5000, 7)) <= got and len(got) < 5000 / 7 + 20
+    assert overlap.likely(keys, "k", keys.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("num", [50, 85, 95])
 def test_linked_sets_share_a_key(num):
     """Also where all differences fall where they hurt most: the first groups."""
@@ -250,10 +257,14 @@ def test_tree_meets_every_pair_that_can_link(spark):
     label = [bytes([i % 5]) for i in range(700)]
     name = [i.to_bytes(16, "big") for i in range(700)]
     points = np.array([overlap.point(s) for s in sets])
-    df = spark.createDataFrame([(b"f", n, v, len(s), p.tolist()) for n, v, s, p in zip(name, label, sets, points)],
-                               "comp binary, cls binary, label binary, n int, point array<int>")
-    got = {tuple(sorted((bytes(r.a), bytes(r.b)))) for r in
-           overlap.tree_pairs(overlap.build_tree(df), 85, 100).collect()}
+    df = spark.createDataFrame(
+        [(b"f", n, v, len(s), overlap.coarse(p).tolist(), overlap._shut(p)) for n, v, s, p in zip(name, label, sets, points)],
+        "comp binary, cls binary, label binary, n int, box array<int>, point binary")
+    levels = overlap.build_tree(df)
+    need = {}
+    for r in overlap.tree_members(levels, 85, 100).collect():
+        need.setdefault((r.x, r.y), set()).add(bytes(r.cls))
+    at = {bytes(s.cls): r.id for r in levels[0].collect() for s in r.sets}
     want = set()
     for i in range(700):
         bound = np.minimum(points[i], points).sum(axis=1)
@@ -261,4 +272,20 @@ def test_tree_meets_every_pair_that_can_link(spark):
             x, y = len(sets[i]), len(sets[j])
             if label[i] != label[j] and bound[j] * 185 >= 85 * (x + y) and min(x, y) * 100 >= max(x, y) * 85:
                 want.add((name[i], name[j]))
-    assert got == want and want
+    # every pair that can link meets in its pair of leaves, and nothing else is asked for
+    assert want and all({a, b} <= need[tuple(sorted((at[a], at[b])))] for a, b in want)
+    assert {c for v in need.values() for c in v} == {c for p in want for c in p}
+    # the links join the labels exactly as all links do
+    items = spark.createDataFrame([(n, overlap._zip(s)) for n, s in zip(name, sets)], "cls binary, items binary")
+    links = [(bytes(r.a), bytes(r.b)) for r in overlap.tree_links(levels, items, 85, 100).collect()]
+    of = dict(zip(name, label))
+    linked = {(of[a], of[b]) for a, b in want for x, y in [(sets[name.index(a)], sets[name.index(b)])]
+              if len(np.intersect1d(x, y)) * 185 >= 85 * (len(x) + len(y))}
+
+    def parts(edges):
+        top = {x: x for x in set(label)}
+        for a, b in edges:
+            a, b = top[a], top[b]
+            top = {k: min(a, b) if v in (a, b) else v for k, v in top.items()}
+        return top
+    assert parts((of[a], of[b]) for a, b in links) == parts(linked) and len(links) < 200
