@@ -5,7 +5,7 @@ prefix filter of :mod:`.pairs` cannot prune them.  Two strategies:
 
 * ``blocks`` (exact): names are hashed into blocks of at most
   ``block_size`` vectors; each vector is sent to the block pairs it belongs
-  to (a bounded replication factor, no cross join), and each block pair is
+  to (as many copies as there are blocks, n / block_size), and each block pair is
   one ``applyInPandas`` group holding at most two blocks.  The block product
   runs in numpy and only pairs at or above the threshold leave the task.
   Work is n^2 dot products -- the semantics of an all-pairs threshold.

@@ -31,8 +31,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
 def spread_out(df: DataFrame) -> DataFrame:
     """Round-robin repartition a scan that yields fewer input partitions than
     the session's parallelism (a small file written as one row group is one
-    task).  Size-aware: a scan of many files or row groups is left alone, so
-    at cluster scale this adds no shuffle.  Filters and column pruning still
+    task).  A scan of at least as many partitions is left alone; a smaller one
+    on a large cluster is shuffled once.  Filters and column pruning still
     reach the parquet reader through the repartition."""
     par = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < par:
