@@ -360,8 +360,17 @@ def q_corr_six(spark, sf):
 
 
 def _correlations(f, columns):
+    """Pearson's correlation of each pair of columns, NaN where a column is
+    constant (as values are compared: to ``CMP_DIGITS`` digits)."""
     pairs_ = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    agg = f.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs_)])
+    f = f.select(*[F.round(c, pairs.CMP_DIGITS).alias(c) for c in columns])
+    aggs = []
+    for i, (a, b) in enumerate(pairs_):
+        x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+        aggs += [F.covar_pop(a, b).alias(f"v{i}"), (F.stddev_pop(x) * F.stddev_pop(y)).alias(f"d{i}")]
+    agg = f.agg(*aggs).select(*[
+        F.when(F.col(f"d{i}") == 0, F.lit(float("nan"))).otherwise(F.try_divide(f"v{i}", f"d{i}")).alias(f"c{i}")
+        for i in range(len(pairs_))])
     rows = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs_))
     out = agg.selectExpr(f"stack({len(pairs_)}, {rows}) AS (feature_1, feature_2, corr)")
     return out.select("feature_1", "feature_2", _r("corr"))
