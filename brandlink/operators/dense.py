@@ -3,17 +3,16 @@
 Dense vectors (embeddings, PCA output) share every dimension, so the
 prefix filter of :mod:`.pairs` cannot prune them.  Two strategies:
 
-* ``blocks`` (exact): names are hashed into blocks of at most
-  ``block_size`` vectors; each vector is sent to the block pairs it belongs
-  to (as many copies as there are blocks, n / block_size), and each block pair is
-  one ``applyInPandas`` group holding at most two blocks.  The block product
-  runs in numpy and only pairs at or above the threshold leave the task.
-  Work is n^2 dot products -- the semantics of an all-pairs threshold.
-* ``lsh`` (approximate, for n beyond exact reach): random-hyperplane
-  signatures (Charikar 2002) cut into bands; vectors sharing a band bucket
-  become candidates and are verified exactly.  The bits of a band grow with
-  the logarithm of the number of vectors, so a bucket stays small, and the
-  bands are as many as the wanted recall of a pair at the threshold needs.
+* ``blocks`` (exact): names are hashed into stripes (:mod:`.grid`) and each
+  pair of stripes is one group; there a block of ``block_size`` vectors of each
+  side is multiplied at a time, and only pairs at or above the threshold leave
+  the task.  Work is n^2 dot products -- the semantics of an all-pairs threshold.
+* ``lsh`` (approximate): random-hyperplane signatures (Charikar 2002) cut into
+  bands; vectors of a pair of stripes that share a band bucket become candidates
+  and are verified exactly.  The bits of a band grow with the logarithm of the
+  number of vectors that meet, so a bucket stays small, and the bands are as many
+  as the wanted recall of a pair at the threshold needs.  Signatures are made
+  where they meet, some bands at a time: neither they nor candidates are shuffled.
 """
 
 from __future__ import annotations
@@ -21,11 +20,11 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PAIR_SCHEMA = "left_side string, right_side string, similarity double"
+from .grid import PAIR_SCHEMA, name_column, name_ranks, pair_table, parts_by_stripe, sides, stripe_count, stripe_pairs, striped
 
 
 # --------------------------------------------------------- dense cosine
@@ -49,8 +48,11 @@ def dense_cosine_pairs(emb: DataFrame, min_similarity: float, name_col: str = "n
     if method == "blocks":
         out = _blocks(e, min_similarity, block_size)
     elif method == "lsh":
-        planned = band_plan(e.count(), min_similarity, recall) if bands is None or rows is None else (bands, rows)
-        out = _lsh(e, min_similarity, *planned, seed)
+        n = e.count()
+        stripes = stripe_count(n, least=1024, most=8192)
+        together = n if stripes == 1 else 2 * -(-n // stripes)
+        planned = band_plan(together, min_similarity, recall) if bands is None or rows is None else (bands, rows)
+        out = _lsh(e, min_similarity, *planned, seed, stripes)
     else:
         raise ValueError(method)
     if symmetric:
@@ -59,34 +61,56 @@ def dense_cosine_pairs(emb: DataFrame, min_similarity: float, name_col: str = "n
     return out
 
 
+_PACKED = "s int, names array<string>, m binary"
+
+
+def _pack(batches):
+    """Unit vectors of a batch to one row for each stripe."""
+    for batch in batches:
+        for s, part in parts_by_stripe(batch):
+            v = part.column("v")
+            m = v.flatten().to_numpy()
+            names = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column("name"))
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), names, pa.array([m.tobytes()], pa.binary())],
+                                             ["s", "names", "m"])
+
+
+def _product(t: float, block_size: int, candidates=None):
+    """Pairs at or above ``t`` of a group of two stripes, a block of each side at
+    a time; ``candidates(a, b)``: which pairs may be tested (all without)."""
+    def run(table: pa.Table) -> pa.Table:
+        both = sides(table)
+        if both is None:
+            return pair_table(*[pa.array([], pa.string())] * 2, [])
+        a, b, same = both
+        na, nb = name_column(a), name_column(b)
+        ra, rb = name_ranks(na, nb, same)
+        ma = np.concatenate([np.frombuffer(x.as_py()) for x in a.column("m")]).reshape(len(na), -1)
+        mb = ma if same else np.concatenate([np.frombuffer(x.as_py()) for x in b.column("m")]).reshape(len(nb), -1)
+        asked = candidates(ma, mb) if candidates else None
+        parts = []
+        for i in range(0, len(na), block_size):
+            for j in range(i if same else 0, len(nb), block_size):
+                sim = ma[i:i + block_size] @ mb[j:j + block_size].T
+                hit = sim >= t - 1e-9
+                if asked is not None:
+                    hit &= asked[i:i + block_size, j:j + block_size]
+                ii, jj = np.nonzero(hit)
+                v = sim[ii, jj]
+                ii, jj = ii + i, jj + j
+                keep = np.round(v, 9) >= t
+                # a block with itself holds every pair twice
+                keep &= ra[ii] < rb[jj] if same and i == j else ra[ii] != rb[jj]
+                ii, jj = ii[keep], jj[keep]
+                parts.append((ii, jj, v[keep], ra[ii] < rb[jj]))
+        return pair_table(na, nb, parts)
+    return run
+
+
 def _blocks(e: DataFrame, t: float, block_size: int) -> DataFrame:
-    n = e.count()
-    nb = max(1, math.ceil(n / block_size))
-    e = e.withColumn("blk", F.pmod(F.xxhash64("name"), F.lit(nb)).cast("int"))
-    rep = (e.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-           .select("name", "v", "blk", F.least("blk", "j").alias("ba"),
-                   F.greatest("blk", "j").alias("bb")))
-    thr = float(t)
-
-    def block_pair(pdf: pd.DataFrame) -> pd.DataFrame:
-        ba, bb = int(pdf["ba"].iloc[0]), int(pdf["bb"].iloc[0])
-        a = pdf[pdf["blk"] == ba]
-        b = a if ba == bb else pdf[pdf["blk"] == bb]
-        if len(a) == 0 or len(b) == 0:
-            return pd.DataFrame({"left_side": [], "right_side": [], "similarity": []})
-        ma = np.vstack(a["v"].to_numpy())
-        mb = ma if ba == bb else np.vstack(b["v"].to_numpy())
-        sim = ma @ mb.T
-        ii, jj = np.nonzero(np.round(sim, 9) >= thr)
-        na, nbn = a["name"].to_numpy(), b["name"].to_numpy()
-        ln, rn = na[ii], nbn[jj]
-        keep = ln < rn if ba == bb else ln != rn
-        ln, rn, s = ln[keep], rn[keep], sim[ii[keep], jj[keep]]
-        lo = np.where(ln < rn, ln, rn)
-        hi = np.where(ln < rn, rn, ln)
-        return pd.DataFrame({"left_side": lo, "right_side": hi, "similarity": s})
-
-    return rep.groupBy("ba", "bb").applyInPandas(block_pair, PAIR_SCHEMA)
+    n = stripe_count(e.count(), least=256, most=16384)
+    packed = striped(e, n).mapInArrow(_pack, _PACKED)
+    return stripe_pairs(packed, n).applyInArrow(_product(float(t), block_size), PAIR_SCHEMA)
 
 
 def band_plan(n: int, t: float, recall: float) -> tuple[int, int]:
@@ -99,30 +123,42 @@ def band_plan(n: int, t: float, recall: float) -> tuple[int, int]:
     return (1 if hit >= recall else math.ceil(math.log(1 - recall) / math.log(1 - hit))), rows
 
 
-def _lsh(e: DataFrame, t: float, bands: int, rows: int, seed: int) -> DataFrame:
-    dim = e.select(F.size("v")).first()[0]
-    planes = np.random.default_rng(seed).standard_normal((bands * rows, dim))
+def _same_bucket(bands: int, rows: int, seed: int):
+    """Which pairs of two sets of vectors share the bucket of a band; the planes
+    of some bands at a time."""
+    def run(ma, mb):
+        dim = ma.shape[1]
+        rng, weights = np.random.default_rng(seed), 1 << np.arange(rows)
+        seen = np.zeros((len(ma), len(mb)), bool)
+        step = max(1, _CELLS // (rows * (dim + max(len(ma), len(mb)))))
 
-    def signatures(it):
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            m = np.vstack(pdf["v"].to_numpy())
+        def keys(m, planes):
             bits = (m @ planes.T) > 0
-            weights = 1 << np.arange(rows)
-            keys = (bits.reshape(len(pdf), bands, rows) * weights).sum(axis=2)
-            yield pd.DataFrame({"name": np.repeat(pdf["name"].to_numpy(), bands),
-                                "band": np.tile(np.arange(bands), len(pdf)),
-                                "bucket": keys.reshape(-1).astype("int64")})
-
-    sig = e.select("name", "v").mapInPandas(signatures, "name string, band long, bucket long")
-    a = sig.select(F.col("name").alias("left_side"), "band", "bucket")
-    b = sig.select(F.col("name").alias("right_side"), "band", "bucket")
-    cand = (a.join(b, ["band", "bucket"]).where(F.col("left_side") < F.col("right_side"))
-            .select("left_side", "right_side").distinct())
-    va = e.select(F.col("name").alias("left_side"), F.col("v").alias("va"))
-    vb = e.select(F.col("name").alias("right_side"), F.col("v").alias("vb"))
-    dot = F.aggregate(F.zip_with("va", "vb", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    return (cand.join(va, "left_side").join(vb, "right_side")
-            .select("left_side", "right_side", dot.alias("similarity"))
-            .where(F.round("similarity", 9) >= t))
+            return (bits.reshape(len(m), -1, rows) @ weights).T
+
+        for at in range(0, bands, step):
+            planes = rng.standard_normal((min(step, bands - at) * rows, dim))
+            ka = keys(ma, planes)
+            kb = ka if ma is mb else keys(mb, planes)
+            for x, y in zip(ka, kb):
+                order = np.argsort(y)
+                y = y[order]
+                lo, hi = np.searchsorted(y, x, "left"), np.searchsorted(y, x, "right")
+                n = hi - lo
+                # parts of a bucket join of about _CELLS pairs
+                cut = np.flatnonzero(np.diff(np.cumsum(n) // _CELLS, prepend=0))
+                for p, q in zip([0, *cut], [*cut, len(n)]):
+                    k = n[p:q]
+                    first = np.repeat(lo[p:q] - (np.cumsum(k) - k), k)
+                    seen[np.repeat(np.arange(p, q), k), order[first + np.arange(len(first))]] = True
+        return seen
+    return run
+
+
+_CELLS = 4 << 20  # numbers of an array at a time
+
+
+def _lsh(e: DataFrame, t: float, bands: int, rows: int, seed: int, stripes: int) -> DataFrame:
+    packed = striped(e, stripes).mapInArrow(_pack, _PACKED)
+    return stripe_pairs(packed, stripes).applyInArrow(
+        _product(float(t), 1024, _same_bucket(bands, rows, seed)), PAIR_SCHEMA)
