@@ -6,8 +6,9 @@ pairs similarity search", WWW 2007): terms of every name are ordered rare to
 common, and a term is indexed only while the norm of it and all more common
 terms of the name is at least the threshold.  Two unit vectors with cosine
 >= t always share a term that is indexed on both sides, so the candidate set
-is complete.  Candidates are verified on vector rows, one row for each name with
-its terms and weights: a pair meets two rows, not a row for each of its terms.
+is complete.  The names are dealt into stripes (:mod:`.grid`): candidates are
+found and verified where two stripes meet, so neither they nor a vector for each
+pair is shuffled.  Given pairs (``pair_dots``) meet vector rows, one for each name.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .grid import name_column, name_ranks, pair_table, parts_by_stripe, sides, stripe_count, stripe_pairs, striped
 
 EPS = 1e-9
 # similarities are compared with the threshold at this precision, so exact
@@ -111,6 +113,97 @@ def pair_cosine(pairs: DataFrame, weights: DataFrame, column: str = "similarity"
     return pair_dots(pairs, vector_rows(weights), [column])
 
 
+_PACKED = "s int, names array<string>, n binary, terms array<string>, w binary, suffix binary"
+
+
+def _pack(batches):
+    """Vector rows (name, vec) of a batch to one row for each stripe."""
+    for batch in batches:
+        for s, part in parts_by_stripe(batch):
+            vec = part.column("vec")
+            e = vec.flatten()
+            n = np.diff(vec.offsets.to_numpy()).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([s], pa.int32()),
+                 pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column("name")),
+                 pa.array([n.tobytes()], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array([0, len(e)], pa.int32()), e.field("term")),
+                 *[pa.array([e.field(c).to_numpy().tobytes()], pa.binary()) for c in ("w", "suffix")]],
+                ["s", "names", "n", "terms", "w", "suffix"])
+
+
+_STEP = 1 << 21     # candidate rows at a time
+_ENTRIES = 4 << 20  # entries of a stripe, about
+
+
+def _stripe_join(t: float):
+    """Pairs at or above ``t`` of a group of two stripes: indexed entries meet by
+    term, and each candidate's dot product is taken over whole vectors."""
+    def entries(x: pa.Table):
+        n, w, suffix = (np.concatenate([np.frombuffer(v.as_py(), k) for v in x.column(c)])
+                        for c, k in (("n", np.int32), ("w", float), ("suffix", float)))
+        return n.astype(np.int64), w, suffix
+
+    def run(table: pa.Table) -> pa.Table:
+        both = sides(table)
+        if both is None:
+            return pair_table(*[pa.array([], pa.string())] * 2, [], "s")
+        a, b, same = both
+        na, nb = name_column(a), name_column(b)
+        ra, rb = name_ranks(na, nb, same)
+        terms = [c.flatten() for x in ([a] if same else [a, b]) for c in x.column("terms").chunks]
+        code = pa.concat_arrays(terms).dictionary_encode()
+        size, code = len(code.dictionary), code.indices.to_numpy()
+        an, aw, asuf = entries(a)
+        bn, bw, bsuf = (an, aw, asuf) if same else entries(b)
+        ac, bc = code[:len(aw)], code if same else code[len(aw):]
+        # candidates: indexed entries of the two sides that share a term
+        ai, bi = np.flatnonzero(asuf >= t - EPS), np.flatnonzero(bsuf >= t - EPS)
+        bi = bi[np.argsort(bc[bi], kind="stable")]
+        bo, bs = np.repeat(np.arange(len(bn)), bn)[bi], bsuf[bi]
+        ao, as_ = np.repeat(np.arange(len(an)), an)[ai], asuf[ai]
+        begin = np.searchsorted(bc[bi], np.arange(size + 1))
+        lo, k = begin[ac[ai]], begin[ac[ai] + 1] - begin[ac[ai]]
+        seen = np.zeros((len(an), len(bn)), bool)
+        cut = np.flatnonzero(np.diff(np.cumsum(k) // _STEP, prepend=0))
+        for p, q in zip([0, *cut], [*cut, len(k)]):
+            m = k[p:q]
+            at = np.repeat(lo[p:q] - (np.cumsum(m) - m), m)
+            at += np.arange(len(at))
+            left = np.repeat(np.arange(p, q), m)
+            ok = as_[left] * bs[at] >= t - EPS
+            seen[ao[left[ok]], bo[at[ok]]] = True
+        # one name of the left at a time: its weights by term, and all its candidates
+        weight, parts = np.zeros(size), []
+        aend, bstart = np.cumsum(an), np.cumsum(bn) - bn
+        for i in range(len(an)):
+            js = np.flatnonzero(seen[i])
+            js = js[ra[i] < rb[js]] if same else js[ra[i] != rb[js]]
+            mine = slice(aend[i] - an[i], aend[i])
+            weight[ac[mine]] = aw[mine]
+            for x in range(0, len(js), 4096):
+                j = js[x:x + 4096]
+                m = bn[j]
+                first = np.cumsum(m) - m
+                at = np.repeat(bstart[j] - first, m) + np.arange(m.sum())
+                dot = np.add.reduceat(weight[bc[at]] * bw[at], first)
+                hit = np.flatnonzero(np.round(dot, CMP_DIGITS) >= t)
+                parts.append((np.full(len(hit), i), j[hit], dot[hit], ra[i] < rb[j[hit]]))
+            weight[ac[mine]] = 0
+        return pair_table(na, nb, parts, "s")
+    return run
+
+
+def _pairs_at_least(weights: DataFrame, t: float) -> DataFrame:
+    """``left_side < right_side, s``: the pairs with cosine ``s`` >= ``t``."""
+    idx = _with_suffix_norm(weights).groupBy("name").agg(
+        F.collect_list(F.struct("term", "w", "suffix")).alias("vec"))
+    size = weights.agg(F.countDistinct("name").alias("names"), F.count(F.lit(1)).alias("entries")).first()
+    n = max(stripe_count(size["names"], least=256, most=8192), -(-size["entries"] // _ENTRIES))
+    packed = striped(idx, n).mapInArrow(_pack, _PACKED)
+    return stripe_pairs(packed, n).applyInArrow(_stripe_join(t), "left_side string, right_side string, s double")
+
+
 def cosine_pairs(weights: DataFrame, min_similarity: float, symmetric: bool = False,
                  include_self: bool = False, column: str = "similarity",
                  round_to: int | None = None) -> DataFrame:
@@ -121,11 +214,10 @@ def cosine_pairs(weights: DataFrame, min_similarity: float, symmetric: bool = Fa
     """
     if min_similarity <= 0:
         raise ValueError("a positive threshold is required (all pairs would be n^2)")
-    # read for the candidates and for the vector rows: materialise once
+    # read for the vectors, their number and the diagonal: materialise once
     keep = ["name", "term", "w"] + (["df"] if "df" in weights.columns else [])
     weights = cut_lineage(weights.select(*keep))
-    cand = candidate_pairs(weights, min_similarity)
-    sims = pair_dots(cand, vector_rows(weights), ["s"]).where(at_least(F.col("s"), min_similarity))
+    sims = _pairs_at_least(weights, float(min_similarity))
     if symmetric:
         sims = cut_lineage(sims)  # thresholded pairs, read twice (both directions)
     out = sims
