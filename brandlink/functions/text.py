@@ -22,14 +22,21 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def is_ascii(c: ColumnOrName) -> Column:
+    """Whether a string has as many bytes as characters (quick to tell)."""
+    return F.octet_length(_col(c)) == F.char_length(_col(c))
+
+
 def transliterate(c: ColumnOrName) -> Column:
     """Latin letters with marks, ligatures and sharp s to ASCII."""
     c = _col(c)
     out = c
     for src, dst in MULTI.items():
         out = F.replace(out, F.lit(src), F.lit(dst))
-    # the replace chain runs only on the rare strings holding such a letter
-    out = F.when(c.rlike("[" + "".join(MULTI) + "]"), out).otherwise(c)
+    # the replace chain runs only on the rare strings holding such a letter (a
+    # string that is shorter without them)
+    rare = F.octet_length(F.translate(c, "".join(MULTI), "")) < F.octet_length(c)
+    out = F.when(rare, out).otherwise(c)
     src = "".join(SINGLE.keys())
     dst = "".join(SINGLE.values())
     return F.translate(out, src, dst)
@@ -47,11 +54,14 @@ def slug(c: ColumnOrName, replacements: Iterable[tuple[str, str]] = (),
     out = _col(c)
     for old, new in reps:
         out = F.replace(out, F.lit(old), F.lit(new))
-    out = F.regexp_replace(out, "'+", "-")
-    out = F.lower(transliterate(out))
-    # quotes produced by the transliteration vanish instead of separating
-    out = F.regexp_replace(out, "'+", "")
-    out = F.regexp_replace(out, r"(?<=[0-9]),(?=[0-9])", "")
+    out = F.replace(out, F.lit("'"), F.lit("-"))
+    # a text of ASCII alone has nothing to transliterate; quotes produced by the
+    # transliteration vanish instead of separating
+    plain = F.replace(transliterate(out), F.lit("'"), F.lit(""))
+    if all(new.isascii() for _, new in reps):
+        plain = F.when(is_ascii(c), out).otherwise(plain)
+    out = F.lower(plain)
+    out = F.regexp_replace(out, r",(?<=[0-9],)(?=[0-9])", "")
     out = F.regexp_replace(out, "[^a-z0-9]+", " ")
     out = F.trim(out)
     for old, new in reps:
@@ -123,8 +133,13 @@ def word_tokens(c: ColumnOrName, stopwords: Sequence[str] | None = STOPWORDS,
     """Word tokens of ``min_len`` or more ASCII letters between word
     boundaries, lower-cased, stop words removed (X13).  A token glued to a
     digit (``7up``) gives nothing."""
-    toks = F.regexp_extract_all(
-        F.lower(_col(c)), F.lit(r"(?U)\b([a-z]{%d,})\b" % min_len), 1)
+    # a run of letters is never given up in part (``}+``); texts of ASCII alone need
+    # no Unicode tables to see a boundary
+    run = r"\b([a-z]{%d,}+)\b" % min_len
+    # the lambda names the string, so that it is made once for all three uses
+    toks = F.transform(F.array(F.lower(_col(c))), lambda low: F.when(
+        is_ascii(low), F.regexp_extract_all(low, F.lit(run), 1)).otherwise(
+        F.regexp_extract_all(low, F.lit("(?U)" + run), 1)))[0]
     if stopwords:
         toks = remove_stopwords(toks, stopwords)
     return toks
