@@ -15,6 +15,7 @@ from brandlink.llm import minhash, ngrams, pieces, suffixes, toxicity
 from brandlink.llm.components import components
 from brandlink.llm.eliasfano import EliasFano, Siblings, Writer
 from brandlink.llm.packing import pack, unpack
+from brandlink.session import ensure_checkpoint_dir
 from cases import SCHEMA, SF, awkward_rows, frame, words
 from pyspark.sql import functions as F
 
@@ -127,6 +128,29 @@ def test_repeats(spark, heavy, monkeypatch):
     assert suffixes.drop_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_repeats_leave_one_table(spark):
+    """Segments and their runs leave the disk before the documents move."""
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = {x for x in os.listdir(folder) if x.startswith("llm-")}
+    passage = "one passage of more than fifty bytes that two of the documents share "
+    rows = [(1, "a " + passage + "b"), (2, "c " + passage + "d"), (3, "a " + passage + "b")]
+    got = suffixes.removed_spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = {x for x in os.listdir(folder) if x.startswith("llm-")} - before
+    assert {r.doc_id for r in got.collect()} == {2, 3} and len(left) == 1
+
+
+def test_chance_meetings_leave_the_join():
+    """Twenty equal bytes cannot hold a shared window: their texts share no anchor."""
+    rng = random.Random(5)
+    noise = lambda: bytes(rng.randrange(33, 127) for _ in range(40))
+    texts = []
+    for _ in range(2):
+        texts.append(b"".join(noise() + b"twenty equal bytes__" for _ in range(50)).decode())
+    t = suffixes._Texts(texts)
+    h, owner, _, _ = suffixes.anchor_places(t.data, t.starts, t.lengths)
+    assert not set(h[owner == 0].tolist()) & set(h[owner == 1].tolist())
+
+
 def test_elias_fano(tmp_path):
     rng = np.random.default_rng(0)
     for n, top in ((0, 1), (1, 5), (50, 60), (1000, 10**9), (5000, 5000), (3000, 40000)):
