@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.text import slug, upper_strip, zfill
+from ..session import cut_lineage
 
 
 def _per_retailer(cfg: Config, value) -> Column:
@@ -44,6 +45,11 @@ def bronze(raw: DataFrame, cfg: Config) -> DataFrame:
     return raw.select(*cols)
 
 
+def _digits(c: str) -> Column:
+    """Ids that the silver layer keeps: not null, digits only."""
+    return F.col(c).isNotNull() & F.col(c).rlike(r"^\p{Nd}*\z")
+
+
 def silver(raw: DataFrame, cfg: Config) -> DataFrame:
     """Digit-only non-null ids, non-null brands; brand upper-cased and
     stripped, slugged; levels slugged; ids zero-padded to 13; the all-zero id
@@ -51,8 +57,7 @@ def silver(raw: DataFrame, cfg: Config) -> DataFrame:
     the parquet reader."""
     b = bronze(raw, cfg)
     levels = level_columns(b)
-    b = (b.where(F.col("product_id").isNotNull() & F.col("brand_desc").isNotNull())
-         .where(F.col("product_id").rlike(r"^\p{Nd}*\z")))
+    b = b.where(_digits("product_id") & F.col("brand_desc").isNotNull())
     brand = upper_strip("brand_desc")
     out = b.select(
         "retailer",
@@ -80,6 +85,15 @@ def gold(raw: DataFrame, cfg: Config, keep_null_level1: bool = False) -> DataFra
     return out
 
 
+def gold_brands(raw: DataFrame, cfg: Config) -> DataFrame:
+    """``brand_desc_slug`` of the gold layer, distinct.  Rows that differ in their
+    ids or in what no filter reads are cleaned once for all."""
+    kept = raw.where(_digits("ean") & (zfill("ean", 13) != "0000000000000") & F.col("brand_name").isNotNull())
+    rows = kept.select("retailer", F.lit("1").alias("ean"), "brand_name", F.slice("crumb", 1, 2).alias("crumb")).distinct()
+    # written, or the filters on slugs would be pushed below the distinct
+    return gold(cut_lineage(rows), cfg).select("brand_desc_slug").distinct()
+
+
 # ---------------------------------------------------------------- set operators
 
 def stack(frames: Sequence[DataFrame], allow_missing: bool = True,

@@ -22,20 +22,32 @@ def gold_fixture(spark: SparkSession, sf_dir: str, variant: str = "dirty",
     return catalog.gold(fixture_catalogue(spark, sf_dir, variant), cfg)
 
 
+def gold_brands_fixture(spark: SparkSession, sf_dir: str, variant: str = "dirty",
+                        cfg: Config = FIXTURE_CONFIG) -> DataFrame:
+    """The gold layer's distinct brands, all that the encodings of names read."""
+    return catalog.gold_brands(fixture_catalogue(spark, sf_dir, variant), cfg)
+
+
 def brand_names(gold_df: DataFrame) -> DataFrame:
     """All brand slugs of all retailers, distinct, as ``name``."""
     return gold_df.select(F.col("brand_desc_slug").alias("name")).distinct()
 
 
+def _written_names(gold_df: DataFrame) -> DataFrame:
+    """``brand_names``, written: TF-IDF reads them for the counts and for their
+    number, and a gold layer that is not written would be cleaned each time."""
+    return cut_lineage(brand_names(gold_df))
+
+
 def ngram_weights(gold_df: DataFrame) -> DataFrame:
     """C8 vectors: char 2..5-gram TF-IDF of the compact slug of every brand."""
-    names = brand_names(gold_df).withColumn("_t", slug_compact("name"))
+    names = _written_names(gold_df).withColumn("_t", slug_compact("name"))
     return vectors.char_ngram_tfidf(names, "name", "_t")
 
 
 def word_weights(gold_df: DataFrame) -> DataFrame:
     """C9 vectors: word TF-IDF of every brand slug."""
-    return vectors.word_tfidf(brand_names(gold_df), "name")
+    return vectors.word_tfidf(_written_names(gold_df), "name")
 
 
 def category_weights(gold_df: DataFrame, cfg: Config = FIXTURE_CONFIG) -> DataFrame:

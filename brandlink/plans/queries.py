@@ -38,6 +38,11 @@ def _gold(spark, sf, variant="dirty"):
     return jobs.gold_fixture(spark, sf, variant)
 
 
+def _brands(spark, sf, variant="dirty"):
+    """In place of the gold layer where only the brands' names are read."""
+    return jobs.gold_brands_fixture(spark, sf, variant)
+
+
 def _r(c: str, to: str | None = None):
     return F.round(F.col(c), R6).alias(to or c)
 
@@ -206,24 +211,24 @@ def q_tokens(spark, sf):
 
 @query("V3_V4_V5_tfidf_ngrams")
 def q_tfidf(spark, sf):
-    w = jobs.ngram_weights(_gold(spark, sf))
+    w = jobs.ngram_weights(_brands(spark, sf))
     return w.select("name", "term", _r("w"))
 
 
 @query("V6_vocabulary")
 def q_vocab(spark, sf):
-    return vectors.vocabulary(jobs.ngram_weights(_gold(spark, sf)))
+    return vectors.vocabulary(jobs.ngram_weights(_brands(spark, sf)))
 
 
 @query("C8_V10_ngram_cosine")
 def q_ngram_cos(spark, sf):
-    s = jobs.similarity_table(_gold(spark, sf), "similarity_sg", 0.2)
+    s = jobs.similarity_table(_brands(spark, sf), "similarity_sg", 0.2)
     return s.select("left_side", "right_side", _r("similarity_sg"))
 
 
 @query("C9_word_cosine")
 def q_word_cos(spark, sf):
-    s = jobs.similarity_table(_gold(spark, sf), "similarity_sgWords", 0.2)
+    s = jobs.similarity_table(_brands(spark, sf), "similarity_sgWords", 0.2)
     return s.select("left_side", "right_side", _r("similarity_sgWords"))
 
 
@@ -258,7 +263,7 @@ def q_lemma_cos(spark, sf):
 
 @query("C7_V9_embedding_cosine")
 def q_emb_cos(spark, sf):
-    s = jobs.similarity_table(_gold(spark, sf), "similarity_st", 0.5)
+    s = jobs.similarity_table(_brands(spark, sf), "similarity_st", 0.5)
     return s.select("left_side", "right_side", _r("similarity_st"))
 
 
@@ -272,7 +277,7 @@ def q_title_cos(spark, sf):
 
 @query("O3_top_k_partners")
 def q_topk(spark, sf):
-    s = jobs.similarity_table(_gold(spark, sf), "similarity_sg", 0.2, include_self=False)
+    s = jobs.similarity_table(_brands(spark, sf), "similarity_sg", 0.2, include_self=False)
     return pairs.top_k_per_name(s.select("left_side", "right_side", _r("similarity_sg")), 3,
                                 "similarity_sg")
 
@@ -314,7 +319,7 @@ def q_word_best(spark, sf):
 
 @query("V14_top_distinct_pairs")
 def q_top_pairs(spark, sf):
-    s = jobs.similarity_table(_gold(spark, sf), "similarity_sg", 0.2, include_self=False)
+    s = jobs.similarity_table(_brands(spark, sf), "similarity_sg", 0.2, include_self=False)
     return pairs.top_distinct_pairs(s.select("left_side", "right_side", _r("similarity_sg")),
                                     10, column="similarity_sg")
 
@@ -683,7 +688,7 @@ def q_embed_lsh(spark, sf):
 def _pca(spark, sf, share=0.9, k=None):
     from ..operators import pca
 
-    return pca.reduce(jobs.ngram_weights(_gold(spark, sf)), share=share, k=k)
+    return pca.reduce(jobs.ngram_weights(_brands(spark, sf)), share=share, k=k)
 
 
 def _length(column="embedding"):
@@ -792,7 +797,7 @@ def q_csv(spark, sf):
     from ..session import ensure_checkpoint_dir
     from ..sources.io import read_csv, similarity_schema, write_csv
 
-    s = jobs.similarity_table(_gold(spark, sf), "similarity_sg", 0.2)
+    s = jobs.similarity_table(_brands(spark, sf), "similarity_sg", 0.2)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
     write_csv(s, path)
     back = read_csv(spark, path, similarity_schema("similarity_sg"))

@@ -67,10 +67,11 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str, variant: str = "dirty",
         if key not in _WRITTEN:
             _WRITTEN[key] = cut_lineage(fixture_catalogue(spark, sf_dir, variant, False))
         return _WRITTEN[key]
-    li = table(spark, sf_dir, "lineitem", spread=True).select("l_partkey", "l_suppkey")
+    # a row depends on the part and the retailer only: each of them once before the join
+    li = table(spark, sf_dir, "lineitem").select("l_partkey", (F.col("l_suppkey") % 3).alias("_r")).distinct()
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     j = li.join(part, li.l_partkey == part.p_partkey)
-    pk, r = F.col("l_partkey"), F.col("l_suppkey") % 3
+    pk, r = F.col("l_partkey"), F.col("_r")
     num = F.substring(F.col("p_brand"), 7, 1 << 20)
     w1 = F.split_part(F.col("p_name"), F.lit(" "), F.lit(1))
     w2 = F.split_part(F.col("p_name"), F.lit(" "), F.lit(2))
