@@ -89,7 +89,11 @@ def pair_feature_table(gold_df: DataFrame, min_similarity: float = 0.2,
     """C11: candidate pairs (n-gram similarity > 0.2, both directions) with
     the four other similarities of exactly those pairs and the token-set
     ratio."""
-    gold_df = cut_lineage(gold_df)  # read by all five encodings
+    return features_of_written(cut_lineage(gold_df), min_similarity, with_ratio)  # read by all five encodings
+
+
+def features_of_written(gold_df: DataFrame, min_similarity: float = 0.2, with_ratio: bool = True) -> DataFrame:
+    """``pair_feature_table`` of a gold layer that is written already."""
     sg = similarity_table(gold_df, "similarity_sg", min_similarity, True, False)
     others = {k: f(gold_df) for k, f in SIMILARITY_KINDS.items() if k != "similarity_sg"}
     return links.pair_features(sg, others, "similarity_sg", min_similarity, with_ratio)

@@ -29,3 +29,13 @@ def test_pair_operators_no_cartesian(spark):
                jobs.pair_feature_table(g, 0.2, with_ratio=False)):
         p = plan(df)
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_model_groups_write_the_gold_layer_once(spark, monkeypatch):
+    """Features, links, names and counts read one written table."""
+    from brandlink.plans import queries
+
+    made, gold = [], queries._gold
+    monkeypatch.setattr(queries, "_gold", lambda *a: made.append(1) or gold(*a))
+    assert queries.REGISTRY["C13_C14_model_groups"](spark, SF).count() > 0
+    assert len(made) == 1
