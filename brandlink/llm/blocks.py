@@ -28,15 +28,20 @@ class _Block:
 
     def row(self, number: int) -> pa.RecordBatch:
         codes = np.concatenate(self.codes) if self.codes else np.empty(0, np.int32)
+        # frequent words have small numbers, which pack well
+        order = np.argsort(-np.bincount(codes, minlength=len(self.known)), kind="stable")
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        codes, known = place[codes], list(self.known)
         return pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int64()), pa.array([self.ids], pa.list_(pa.int64())),
              pa.array([self.flags], pa.list_(pa.bool_())),
              pa.array([pack(np.array(self.lengths, np.int32))], pa.binary()),
-             pa.array([pack(codes)], pa.binary()), pa.array([list(self.known)], pa.list_(pa.binary()))],
+             pa.array([pack(codes)], pa.binary()), pa.array([[known[k] for k in order]], pa.list_(pa.binary()))],
             ["block", "ids", "flags", "lengths", "codes", "words"])
 
 
-def _coder(make_tokens: Callable):
+def _coder(make_tokens: Callable, most: int):
     def run(batches):
         from pyspark import TaskContext
 
@@ -54,7 +59,7 @@ def _coder(make_tokens: Callable):
                     b.codes.append(codes)
                     b.lengths.append(len(codes))
                     b.n += len(codes)
-                    if b.n >= BLOCK_TOKENS:
+                    if b.n >= most:
                         yield b.row(number)
                         number, b = number + 1, _Block()
         if b.ids:
@@ -62,13 +67,14 @@ def _coder(make_tokens: Callable):
     return run
 
 
-def code_blocks(docs: DataFrame, make_tokens: Callable, flag=None) -> DataFrame:
+def code_blocks(docs: DataFrame, make_tokens: Callable, flag=None, most: int = BLOCK_TOKENS) -> DataFrame:
     """Written table of the blocks of ``doc_id, text`` rows; ``flag``: a boolean
-    column that goes with each document.  ``make_tokens()`` is called in each
+    column that goes with each document; ``most``: the tokens that fill a block.
+    ``make_tokens()`` is called in each
     task and gives the function from a text (or null) to its tokens (bytes)."""
     flag = F.lit(False) if flag is None else flag
     return staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), flag.alias("flag"), "text")
-                  .mapInArrow(_coder(make_tokens), _SCHEMA))
+                  .mapInArrow(_coder(make_tokens, most), _SCHEMA))
 
 
 def block_words(blocks: DataFrame, *more: str) -> DataFrame:

@@ -290,6 +290,32 @@ def test_pieces_of_whole_texts(spark):
         assert got[i].round_trip
 
 
+def test_pieces_fold_words_in_batches(spark):
+    """Words of a batch are folded at once, as one by one; Spark joins and groups
+    neither edges nor words (which spilled)."""
+    rng = random.Random(4)
+    words = {"".join(rng.choice("ab ehtén▁日\U0001f600") for _ in range(rng.randint(1, 60))) for _ in range(500)}
+    words = sorted(w.encode() for w in words)
+    table = pieces.PieceTable()
+    best = {p: (i, s) for p, i, s in table.useful}
+    rows = [(b, i, bytearray(w)) for b in (3, 7) for i, w in enumerate(words) if i % b]
+    d = pieces.encode_words(spark.createDataFrame(rows, "block long, i int, word binary"), table)
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan
+    got = set()
+    for r in d.collect():
+        i, size, about, ids = (unpack(x, np.int32) for x in (r.words, r.sizes, r.about, r.ids))
+        i, ends = np.cumsum(i), np.cumsum(size)
+        for k, e, n, x in zip(i, ends, size, about):
+            w = words[k].decode()
+            path = pieces._best_path(w, best, table.longest, table.fallback)
+            assert ids[e - n:e].tolist() == [x for v in path for x in (
+                [v] if v >= 0 else [table.bytes[b] for b in chr(-1 - v).encode()])]
+            assert x == 2 * len(w) + 1
+            got.add((r.of, int(k)))
+    assert got == {(b, i) for b, i, _ in rows}
+
+
 def toxic_rows(n, seed):
     rng = random.Random(seed)
     vocab = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(200)]
