@@ -10,6 +10,7 @@ from collections import Counter
 
 import corpus_pipeline
 import numpy as np
+import pandas as pd
 import pytest
 from brandlink.llm import minhash, ngrams, pieces, suffixes, toxicity
 from brandlink.llm.components import components
@@ -128,6 +129,20 @@ def test_repeats(spark, heavy, monkeypatch):
     assert suffixes.drop_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_segments_without_a_common_window_stay_out_of_the_collection(monkeypatch):
+    """An anchor alone does not bring a segment there; its own least doc_id is the answer."""
+    rng = random.Random(7)
+    noise = lambda n: bytes(rng.randrange(33, 127) for _ in range(n))
+    anchor, same = noise(32), noise(18)
+    segs = [noise(18) + anchor + noise(18) for _ in range(60)] + [noise(18) + anchor + same for _ in range(3)]
+    pdf = pd.DataFrame({"anchor": range(63), "digest": 0, "segment": segs, "least": range(63), "most": 62})
+    sizes, order = [], suffixes.collection_order
+    monkeypatch.setattr(suffixes, "collection_order", lambda s, f: sizes.append(len(s)) or order(s, f))
+    got = suffixes._collection(pdf).set_index("anchor")
+    assert sizes == [3] and got.docs.loc[5].tolist() == [5] and got.lasts.loc[5].tolist() == [18]
+    assert [got.docs.loc[k].tolist() for k in (60, 61)] == [[60], [61, 60]] and got.docs.loc[62].tolist() == [60]
+
+
 def test_repeats_leave_one_table(spark):
     """Segments and their runs leave the disk before the documents move."""
     folder = ensure_checkpoint_dir(spark).removeprefix("file:")
