@@ -13,6 +13,9 @@ prefix filter of :mod:`.pairs` cannot prune them.  Two strategies:
   number of vectors that meet, so a bucket stays small, and the bands are as many
   as the wanted recall of a pair at the threshold needs.  Signatures are made
   where they meet, some bands at a time: neither they nor candidates are shuffled.
+  Every vector meets all stripes, so with several of them the bands share their
+  planes (Andoni and Indyk, E2LSH 2005): a band is two of a few half bands, and a
+  pair that agrees in two halves shares a band.
 """
 
 from __future__ import annotations
@@ -49,10 +52,14 @@ def dense_cosine_pairs(emb: DataFrame, min_similarity: float, name_col: str = "n
         out = _blocks(e, min_similarity, block_size)
     elif method == "lsh":
         n = e.count()
-        stripes = stripe_count(n, least=1024, most=8192)
+        stripes = stripe_count(n, least=1024, most=16384)
         together = n if stripes == 1 else 2 * -(-n // stripes)
-        planned = band_plan(together, min_similarity, recall) if bands is None or rows is None else (bands, rows)
-        out = _lsh(e, min_similarity, *planned, seed, stripes)
+        if bands is not None and rows is not None:
+            out = _lsh(e, min_similarity, bands, rows, seed, stripes)
+        elif stripes == 1:
+            out = _lsh(e, min_similarity, *band_plan(together, min_similarity, recall), seed, stripes)
+        else:
+            out = _lsh_halves(e, min_similarity, *half_plan(together, min_similarity, recall), seed, stripes)
     else:
         raise ValueError(method)
     if symmetric:
@@ -75,9 +82,12 @@ def _pack(batches):
                                              ["s", "names", "m"])
 
 
-def _product(t: float, block_size: int, candidates=None):
+def _product(t: float, block_size: int, candidates=None, keys=None):
     """Pairs at or above ``t`` of a group of two stripes, a block of each side at
-    a time; ``candidates(a, b)``: which pairs may be tested (all without)."""
+    a time; ``candidates(a, b)``: which pairs may be tested (all without);
+    ``keys(m)``: half bands, two of which a pair must share (not asked without).
+    A block's products cost less than its candidates one by one, so these are
+    asked only of the pairs that reach the threshold."""
     def run(table: pa.Table) -> pa.Table:
         both = sides(table)
         if both is None:
@@ -88,6 +98,8 @@ def _product(t: float, block_size: int, candidates=None):
         ma = np.concatenate([np.frombuffer(x.as_py()) for x in a.column("m")]).reshape(len(na), -1)
         mb = ma if same else np.concatenate([np.frombuffer(x.as_py()) for x in b.column("m")]).reshape(len(nb), -1)
         asked = candidates(ma, mb) if candidates else None
+        ka = keys(ma) if keys else None
+        kb = ka if same or not keys else keys(mb)
         parts = []
         for i in range(0, len(na), block_size):
             for j in range(i if same else 0, len(nb), block_size):
@@ -101,8 +113,11 @@ def _product(t: float, block_size: int, candidates=None):
                 keep = np.round(v, 9) >= t
                 # a block with itself holds every pair twice
                 keep &= ra[ii] < rb[jj] if same and i == j else ra[ii] != rb[jj]
-                ii, jj = ii[keep], jj[keep]
-                parts.append((ii, jj, v[keep], ra[ii] < rb[jj]))
+                ii, jj, v = ii[keep], jj[keep], v[keep]
+                if ka is not None:
+                    keep = _two_shared(ka, kb, ii, jj)
+                    ii, jj, v = ii[keep], jj[keep], v[keep]
+                parts.append((ii, jj, v, ra[ii] < rb[jj]))
         return pair_table(na, nb, parts)
     return run
 
@@ -158,6 +173,43 @@ def _same_bucket(bands: int, rows: int, seed: int):
 _CELLS = 4 << 20  # numbers of an array at a time
 
 
+def half_plan(n: int, t: float, recall: float) -> tuple[int, int]:
+    """(half bands, bits of one): half of log2(n) bits, rounded up, and as many
+    that a pair at cosine ``t`` shares two with the chance ``recall``."""
+    bits = max(1, math.ceil(band_plan(n, t, recall)[1] / 2))
+    q = (1 - math.acos(max(-1.0, min(1.0, t))) / math.pi) ** bits
+    m = 2
+    while 1 - (1 - q) ** m - m * q * (1 - q) ** (m - 1) < recall:
+        m += 1
+    return m, bits
+
+
+def _half_keys(halves: int, bits: int, seed: int):
+    """The half bands of vectors, a row each."""
+    def run(m):
+        planes = np.random.default_rng(seed).standard_normal((bits, halves, m.shape[1]))
+        out = np.zeros((len(m), halves), np.uint8 if bits <= 8 else np.uint16 if bits <= 16 else np.uint32)
+        step = max(1, _CELLS // halves)
+        for at in range(0, len(m), step):
+            for i in range(bits):
+                out[at:at + step] |= ((m[at:at + step] @ planes[i].T) > 0).astype(out.dtype) << out.dtype.type(i)
+        return out
+    return run
+
+
+def _two_shared(ka, kb, ii, jj) -> np.ndarray:
+    """Which of the pairs share two half bands: both halves of a band."""
+    step = max(1, _CELLS // ka.shape[1])
+    parts = [np.count_nonzero(ka[ii[x:x + step]] == kb[jj[x:x + step]], axis=1) >= 2 for x in range(0, len(ii), step)]
+    return np.concatenate(parts) if parts else np.empty(0, bool)
+
+
+def _lsh_halves(e: DataFrame, t: float, halves: int, bits: int, seed: int, stripes: int) -> DataFrame:
+    packed = striped(e, stripes).mapInArrow(_pack, _PACKED)
+    return stripe_pairs(packed, stripes).applyInArrow(
+        _product(float(t), 1024, keys=_half_keys(halves, bits, seed)), PAIR_SCHEMA)
+
+
 def _lsh(e: DataFrame, t: float, bands: int, rows: int, seed: int, stripes: int) -> DataFrame:
     packed = striped(e, stripes).mapInArrow(_pack, _PACKED)
     return stripe_pairs(packed, stripes).applyInArrow(

@@ -1,5 +1,6 @@
 import numpy as np
 
+from brandlink.operators import dense
 from brandlink.operators.dense import band_plan, dense_cosine_pairs
 
 
@@ -46,3 +47,18 @@ def test_lsh_meets_its_recall(spark):
     assert band_plan(1000, .7, .99)[0] > band_plan(1000, .7, .9)[0]
     bands, rows = band_plan(100_000, .7, .95)
     assert bands / 2 ** rows < .1   # the share of unrelated pairs that meet
+
+
+def test_bands_of_several_stripes_share_their_planes(spark):
+    """Planes for a vector are a few of those of bands of their own; the recall stays."""
+    halves, bits = dense.half_plan(16384, .35, .95)
+    bands, rows = band_plan(16384, .35, .95)
+    assert 2 * bits >= rows and halves * (halves - 1) / 2 > bands and halves * bits < bands * rows / 20
+    rng = np.random.default_rng(2)
+    m = rng.standard_normal((2100, 16))
+    names = [f"v{i:04d}" for i in range(len(m))]
+    df = spark.createDataFrame([(n, [float(x) for x in row]) for n, row in zip(names, m)],
+                               "name string, embedding array<double>")
+    exp = brute(names, m, .7)
+    got = {(r.left_side, r.right_side) for r in dense_cosine_pairs(df, .7, method="lsh", recall=.95).collect()}
+    assert got <= exp and len(exp) > len(got) >= .95 * len(exp) > 1000
