@@ -38,10 +38,21 @@ def parts_by_stripe(batch: pa.RecordBatch):
             yield int(s[rows[0]]), batch.take(pa.array(rows))
 
 
-def stripe_pairs(packed: DataFrame, stripes: int):
-    """Packed rows of a stripe ``s``, once for each group ``ga <= gb`` of it."""
+def stripe_rounds(stripes: int) -> list[tuple[int, int]]:
+    """Ranges of distances of stripes on a ring that make up all pairs: at most
+    STRIPES copies of a name are made for each, however many stripes there are."""
+    far, wide = stripes // 2 + 1, STRIPES // 2
+    return [(0, far)] if stripes <= STRIPES else [(x, min(x + wide, far)) for x in range(0, far, wide)]
+
+
+def stripe_pairs(packed: DataFrame, stripes: int, near: tuple[int, int] | None = None):
+    """Packed rows of a stripe ``s``, once for each group ``ga <= gb`` of it;
+    ``near``: only groups whose stripes are that far apart on a ring."""
     j = F.explode(F.sequence(F.lit(0), F.lit(stripes - 1)))
     rep = packed.withColumn("_j", j)
+    if near is not None:
+        apart = F.least(F.pmod(F.col("s") - F.col("_j"), F.lit(stripes)), F.pmod(F.col("_j") - F.col("s"), F.lit(stripes)))
+        rep = rep.where((apart >= near[0]) & (apart < near[1]))
     return (rep.withColumn("ga", F.least("s", "_j")).withColumn("gb", F.greatest("s", "_j")).drop("_j")
             .groupBy("ga", "gb"))
 

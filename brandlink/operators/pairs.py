@@ -15,11 +15,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..llm.packing import pack, unpack
 from ..session import cut_lineage
-from .grid import name_column, name_ranks, pair_table, parts_by_stripe, sides, stripe_count, stripe_pairs, striped
+from .grid import (name_column, name_ranks, pair_table, parts_by_stripe, sides, stripe_count, stripe_pairs,
+                   stripe_rounds, striped)
 
 EPS = 1e-9
 # similarities are compared with the threshold at this precision, so exact
@@ -31,15 +34,17 @@ def at_least(c, t: float):
     return F.round(c, CMP_DIGITS) >= t
 
 
+def _with_df(weights: DataFrame) -> DataFrame:
+    if "df" in weights.columns:  # carried from TF-IDF: no second shuffle by term
+        return weights
+    return weights.join(weights.groupBy("term").agg(F.count("*").alias("df")), "term")
+
+
 def _with_suffix_norm(weights: DataFrame) -> DataFrame:
     """Add ``df`` (document frequency) and ``suffix`` = norm of the name's
     weights on this term and all more common ones.  A growing running sum in
     reverse order (common to rare), so the window is linear per name."""
-    if "df" in weights.columns:  # carried from TF-IDF: no second shuffle by term
-        w = weights
-    else:
-        dfreq = weights.groupBy("term").agg(F.count("*").alias("df"))
-        w = weights.join(dfreq, "term")
+    w = _with_df(weights)
     win = (Window.partitionBy("name").orderBy(F.col("df").desc(), F.col("term").desc())
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return w.withColumn("suffix", F.sqrt(F.sum(F.col("w") * F.col("w")).over(win)))
@@ -113,36 +118,116 @@ def pair_cosine(pairs: DataFrame, weights: DataFrame, column: str = "similarity"
     return pair_dots(pairs, vector_rows(weights), [column])
 
 
-_PACKED = "s int, names array<string>, n binary, terms array<string>, w binary, suffix binary"
+_PACKED = "s int, names array<string>, n binary, size binary, terms binary, df binary, code binary, w binary"
+_PACKED_SCHEMA = pa.schema([("s", pa.int32()), ("names", pa.list_(pa.string())), *[(c, pa.binary()) for c in (
+    "n", "size", "terms", "df", "code", "w")]])
+
+
+def _common_first(terms: pa.Array, df: np.ndarray) -> np.ndarray:
+    """Places of the terms from common to rare, ties from the last of the alphabet."""
+    alphabet = pc.sort_indices(terms, sort_keys=[("", "descending")]).to_numpy()
+    return alphabet[np.argsort(-df[alphabet], kind="stable")]
 
 
 def _pack(batches):
-    """Vector rows (name, vec) of a batch to one row for each stripe."""
-    for batch in batches:
-        for s, part in parts_by_stripe(batch):
+    """Vector rows (name, vec of (df, term, w)), some batches together, to one row
+    for each stripe: its terms once, common to rare, and each name's entries in that order."""
+    def packed(held):
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        for s, part in parts_by_stripe(rows):
             vec = part.column("vec")
             e = vec.flatten()
             n = np.diff(vec.offsets.to_numpy()).astype(np.int32)
+            term = e.field("term").dictionary_encode()
+            terms, code = term.dictionary, term.indices.to_numpy()
+            df = np.zeros(len(terms), np.int64)
+            df[code] = e.field("df").to_numpy()
+            order = _common_first(terms, df)
+            rank = np.empty(len(terms), np.int32)
+            rank[order] = np.arange(len(terms), dtype=np.int32)
+            terms, code = terms.take(pa.array(order)), rank[code]
+            by = np.lexsort((code, np.repeat(np.arange(len(n)), n)))
+            text = b"".join(x.encode("utf-8", "surrogatepass") for x in terms.to_pylist())
+            names = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column("name"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([s], pa.int32()),
-                 pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column("name")),
-                 pa.array([n.tobytes()], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array([0, len(e)], pa.int32()), e.field("term")),
-                 *[pa.array([e.field(c).to_numpy().tobytes()], pa.binary()) for c in ("w", "suffix")]],
-                ["s", "names", "n", "terms", "w", "suffix"])
+                [pa.array([s], pa.int32()), names, *[pa.array([x], pa.binary()) for x in (
+                    pack(n), pack(pc.binary_length(terms).to_numpy().astype(np.int32)), pack(np.frombuffer(text, np.uint8)),
+                    pack(df[order]), pack(np.diff(code[by], prepend=np.int32(0))), pack(e.field("w").to_numpy()[by]))]], schema=_PACKED_SCHEMA)
+
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += len(batch.column(batch.schema.get_field_index("vec")).flatten())
+        if size > _HELD:
+            yield from packed(held)
+            held, size = [], 0
+    if held:
+        yield from packed(held)
+
+
+def _terms(x: pa.Table) -> list[pa.Array]:
+    """The terms of each packed row."""
+    out = []
+    for size, text in zip(x.column("size"), x.column("terms")):
+        ends = np.cumsum(unpack(size.as_py(), np.int32), dtype=np.int32)
+        offset = np.concatenate([np.zeros(1, np.int32), ends])
+        out.append(pa.Array.from_buffers(pa.string(), len(ends), [None, pa.py_buffer(offset), pa.py_buffer(
+            unpack(text.as_py(), np.uint8))]))
+    return out
 
 
-_STEP = 1 << 21     # candidate rows at a time
+_STEP = 1 << 21     # shared entries at a time
+_LEVELS = 64        # ranks at which the norms of the more common terms are kept
 _ENTRIES = 4 << 20  # entries of a stripe, about
+_HELD = 2 << 20     # entries that are packed together
+_CELLS = 8 << 20    # pairs of names that are looked at together
+
+
+def _running(n: np.ndarray, start: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Running sums inside each name (``n`` values from ``start``), names of like
+    length together: a sum over all names would lose the digits of a short one."""
+    out, like = np.empty(len(v)), np.frexp(n)[1]
+    for k in np.unique(like):
+        names = np.flatnonzero(like == k)
+        wide = np.arange(n[names].max())
+        step = max(1, _STEP // len(wide))
+        for x in range(0, len(names), step):
+            at = start[names[x:x + step], None] + wide
+            inside = wide < n[names[x:x + step], None]
+            out[at[inside]] = np.where(inside, v[np.minimum(at, len(v) - 1)], 0).cumsum(axis=1)[inside]
+    return out
 
 
 def _stripe_join(t: float):
     """Pairs at or above ``t`` of a group of two stripes: indexed entries meet by
-    term, and each candidate's dot product is taken over whole vectors."""
-    def entries(x: pa.Table):
-        n, w, suffix = (np.concatenate([np.frombuffer(v.as_py(), k) for v in x.column(c)])
-                        for c, k in (("n", np.int32), ("w", float), ("suffix", float)))
-        return n.astype(np.int64), w, suffix
+    term and give a part of the dot product; where it may reach ``t`` with the
+    terms that are not indexed on both sides, it is taken over whole vectors.
+
+    Both names index what is at least as rare as the rarer of their two cuts, so
+    the rest is at most the product of their norms on the terms before that cut."""
+    def entries(x: pa.Table, number: list[np.ndarray]):
+        """Of a stripe's names: entries of each, first one; codes and weights; the
+        indexed ones, their owners; first code indexed, norm of those before."""
+        n = [unpack(v.as_py(), np.int32).astype(np.int64) for v in x.column("n")]
+        code = [k[np.cumsum(unpack(v.as_py(), np.int32), dtype=np.int32)] for k, v in zip(number, x.column("code"))]
+        w = [unpack(v.as_py(), float) for v in x.column("w")]
+        n, code, w = np.concatenate(n), np.concatenate(code), np.concatenate(w)
+        start = np.cumsum(n) - n
+        suffix = np.sqrt(_running(n, start, w * w))   # of it and all more common ones
+        owner = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        at = np.flatnonzero(suffix >= t - EPS)
+        out = n - np.bincount(owner[at], minlength=len(n))   # the first ones are not indexed
+        cut = np.append(code, np.iinfo(np.int32).max)[start + np.minimum(out, n)]
+        cut[out == n] = np.iinfo(np.int32).max
+        rest = np.where(out > 0, suffix[np.maximum(start + out - 1, 0)], 0.0)
+        return n, start, code, w, at, owner, cut, rest
+
+    def norms(n, code, w, owner, levels):
+        """Norm of each name's entries before each level, a row for a level."""
+        at = np.searchsorted(levels, code, "right")
+        square = np.bincount(owner.astype(np.int64) * (len(levels) + 1) + at, w * w, minlength=len(n) * (len(levels) + 1))
+        return np.ascontiguousarray(np.sqrt(np.cumsum(square.reshape(len(n), -1)[:, :-1], axis=1)).T)
 
     def run(table: pa.Table) -> pa.Table:
         both = sides(table)
@@ -151,57 +236,80 @@ def _stripe_join(t: float):
         a, b, same = both
         na, nb = name_column(a), name_column(b)
         ra, rb = name_ranks(na, nb, same)
-        terms = [c.flatten() for x in ([a] if same else [a, b]) for c in x.column("terms").chunks]
-        code = pa.concat_arrays(terms).dictionary_encode()
-        size, code = len(code.dictionary), code.indices.to_numpy()
-        an, aw, asuf = entries(a)
-        bn, bw, bsuf = (an, aw, asuf) if same else entries(b)
-        ac, bc = code[:len(aw)], code if same else code[len(aw):]
-        # candidates: indexed entries of the two sides that share a term
-        ai, bi = np.flatnonzero(asuf >= t - EPS), np.flatnonzero(bsuf >= t - EPS)
+        terms = _terms(a) + ([] if same else _terms(b))
+        both = pa.concat_arrays(terms).dictionary_encode()
+        size, index = len(both.dictionary), both.indices.to_numpy()
+        df = np.zeros(size, np.int64)
+        df[index] = np.concatenate([unpack(v.as_py(), np.int64) for x in ([a] if same else [a, b]) for v in x.column("df")])
+        rank = np.empty(size, np.int32)
+        rank[_common_first(both.dictionary, df)] = np.arange(size, dtype=np.int32)
+        number = np.split(rank[index], np.cumsum([len(x) for x in terms])[:-1])
+        an, astart, ac, aw, ai, ao, acut, arest = mine = entries(a, number)
+        bn, bstart, bc, bw, bi, bo, bcut, brest = mine if same else entries(b, number[a.num_rows:])
+        levels = np.unique(np.concatenate([acut, bcut]))
+        levels = levels[np.unique(np.linspace(len(levels) - 1, 0, _LEVELS).astype(np.int64))]
+        alevel, blevel = np.searchsorted(levels, acut), np.searchsorted(levels, bcut)
+        anorm = norms(an, ac, aw, ao, levels)
+        bnorm = anorm if same else norms(bn, bc, bw, bo, levels)
+        # indexed entries of the two sides that share a term
+        aown, acode, aval = ao[ai], ac[ai], aw[ai]
         bi = bi[np.argsort(bc[bi], kind="stable")]
-        bo, bs = np.repeat(np.arange(len(bn)), bn)[bi], bsuf[bi]
-        ao, as_ = np.repeat(np.arange(len(an)), an)[ai], asuf[ai]
+        bown, bval = bo[bi], bw[bi]
         begin = np.searchsorted(bc[bi], np.arange(size + 1))
-        lo, k = begin[ac[ai]], begin[ac[ai] + 1] - begin[ac[ai]]
-        seen = np.zeros((len(an), len(bn)), bool)
-        cut = np.flatnonzero(np.diff(np.cumsum(k) // _STEP, prepend=0))
-        for p, q in zip([0, *cut], [*cut, len(k)]):
-            m = k[p:q]
-            at = np.repeat(lo[p:q] - (np.cumsum(m) - m), m)
-            at += np.arange(len(at))
-            left = np.repeat(np.arange(p, q), m)
-            ok = as_[left] * bs[at] >= t - EPS
-            seen[ao[left[ok]], bo[at[ok]]] = True
-        # one name of the left at a time: its weights by term, and all its candidates
+        lo, k = begin[acode], begin[acode + 1] - begin[acode]
         weight, parts = np.zeros(size), []
-        aend, bstart = np.cumsum(an), np.cumsum(bn) - bn
-        for i in range(len(an)):
-            js = np.flatnonzero(seen[i])
-            js = js[ra[i] < rb[js]] if same else js[ra[i] != rb[js]]
-            mine = slice(aend[i] - an[i], aend[i])
-            weight[ac[mine]] = aw[mine]
-            for x in range(0, len(js), 4096):
-                j = js[x:x + 4096]
-                m = bn[j]
-                first = np.cumsum(m) - m
-                at = np.repeat(bstart[j] - first, m) + np.arange(m.sum())
-                dot = np.add.reduceat(weight[bc[at]] * bw[at], first)
-                hit = np.flatnonzero(np.round(dot, CMP_DIGITS) >= t)
-                parts.append((np.full(len(hit), i), j[hit], dot[hit], ra[i] < rb[j[hit]]))
-            weight[ac[mine]] = 0
+        step = max(1, _CELLS // len(bn))
+        for top in range(0, len(an), step):       # some names of the left
+            x, y = np.searchsorted(aown, [top, top + step])
+            part = np.zeros((min(step, len(an) - top), len(bn)))
+            cut = x + np.flatnonzero(np.diff(np.cumsum(k[x:y]) // _STEP, prepend=0))
+            for p, q in zip([x, *cut], [*cut, y]):
+                m = k[p:q]
+                at = np.repeat(lo[p:q] - (np.cumsum(m) - m), m)
+                at += np.arange(len(at))
+                cell = np.repeat((aown[p:q] - top).astype(np.int64) * len(bn), m) + bown[at]
+                np.add.at(part.ravel(), cell, np.repeat(aval[p:q], m) * bval[at])
+            # one name at a time: its weights by term, and all its candidates
+            for i in range(top, top + len(part)):
+                rest = np.where(bcut <= acut[i], arest[i] * bnorm[alevel[i]], brest * anorm[blevel, i])
+                js = np.flatnonzero(part[i - top] + rest >= t - EPS)
+                js = js[ra[i] < rb[js]] if same else js[ra[i] != rb[js]]
+                if not len(js):
+                    continue
+                own = slice(astart[i], astart[i] + an[i])
+                weight[ac[own]] = aw[own]
+                for x in range(0, len(js), 4096):
+                    j = js[x:x + 4096]
+                    m = bn[j]
+                    first = np.cumsum(m) - m
+                    at = np.repeat(bstart[j] - first, m) + np.arange(m.sum())
+                    dot = np.add.reduceat(weight[bc[at]] * bw[at], first)
+                    hit = np.flatnonzero(np.round(dot, CMP_DIGITS) >= t)
+                    parts.append((np.full(len(hit), i), j[hit], dot[hit], ra[i] < rb[j[hit]]))
+                weight[ac[own]] = 0
         return pair_table(na, nb, parts, "s")
     return run
 
 
 def _pairs_at_least(weights: DataFrame, t: float) -> DataFrame:
     """``left_side < right_side, s``: the pairs with cosine ``s`` >= ``t``."""
-    idx = _with_suffix_norm(weights).groupBy("name").agg(
-        F.collect_list(F.struct("term", "w", "suffix")).alias("vec"))
+    idx = _with_df(weights).groupBy("name").agg(F.collect_list(F.struct("df", "term", "w")).alias("vec"))
     size = weights.agg(F.countDistinct("name").alias("names"), F.count(F.lit(1)).alias("entries")).first()
-    n = max(stripe_count(size["names"], least=256, most=8192), -(-size["entries"] // _ENTRIES))
+    n = max(stripe_count(size["names"], least=256, most=32768), -(-size["entries"] // _ENTRIES))
     packed = striped(idx, n).mapInArrow(_pack, _PACKED)
-    return stripe_pairs(packed, n).applyInArrow(_stripe_join(t), "left_side string, right_side string, s double")
+    rounds = stripe_rounds(n)
+    if len(rounds) > 1:
+        packed = cut_lineage(packed)
+    out = None
+    for near in rounds:
+        found = stripe_pairs(packed, n, near).applyInArrow(
+            _stripe_join(t), "left_side string, right_side string, s double")
+        if len(rounds) > 1:
+            found = cut_lineage(found)  # its copies of the vectors go before the next ones are made
+            for _ in range(2):
+                found.sparkSession._jvm.System.gc()
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def cosine_pairs(weights: DataFrame, min_similarity: float, symmetric: bool = False,

@@ -3,6 +3,7 @@
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from brandlink.operators import grid, pairs
 from brandlink.operators.dense import _same_bucket, dense_cosine_pairs
@@ -46,3 +47,42 @@ def test_bands_are_made_some_at_a_time():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert seen.diagonal().all() and peak < 160 << 20   # all bands at once: 265 MB for their products alone
+
+
+def test_copies_of_a_round_do_not_grow():
+    """However many stripes: every pair of them in one round, a dozen copies at most for each."""
+    for n in (1, 2, 7, 12, 13, 22, 75):
+        rounds = grid.stripe_rounds(n)
+        meet = {(a, b): sum(x <= min((a - b) % n, (b - a) % n) < y for x, y in rounds) for a in range(n) for b in range(n)}
+        assert set(meet.values()) == {1}
+        assert all(sum(x <= min(b, n - b) < y for b in range(n)) <= grid.STRIPES for x, y in rounds)
+
+
+def test_sparse_pairs_in_several_rounds(spark, monkeypatch):
+    """More stripes than a round takes; also terms in the order of their frequency."""
+    monkeypatch.setattr(pairs, "_ENTRIES", 150)
+    rng = np.random.default_rng(8)
+    base = rng.random((30, 50)) * (rng.random((30, 50)) < .2)
+    m = base[np.arange(300) % 30] + .4 * rng.random((300, 50)) * (rng.random((300, 50)) < .1)
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    rows = [(f"n{i:03d}", f"t{j}", float(m[i, j])) for i, j in zip(*np.nonzero(m))]
+    assert -(-len(rows) // 150) > grid.STRIPES
+    s = m @ m.T
+    for t in (.3, .8):
+        want = {(f"n{i:03d}", f"n{j:03d}") for i in range(300) for j in range(i + 1, 300) if round(s[i, j], 9) >= t}
+        got = {(r.left_side, r.right_side): r.similarity for r in pairs.cosine_pairs(
+            spark.createDataFrame(rows, "name string, term string, w double"), t).collect()}
+        assert set(got) == want and len(want) > 500
+        assert all(abs(v - s[int(a[1:]), int(b[1:])]) < 1e-9 for (a, b), v in got.items())
+
+
+def test_packed_vectors_hold_each_term_once():
+    """No term is repeated in a stripe and no norm travels: below ten bytes for an entry."""
+    rng = np.random.default_rng(4)
+    vec = [[{"df": int(k) + 1, "term": f"term number {k}", "w": float(rng.choice([.1, .2, .3]))}
+            for k in rng.choice(3000, 150, replace=False)] for _ in range(2000)]
+    kind = pa.struct([("df", pa.int64()), ("term", pa.string()), ("w", pa.float64())])
+    batch = pa.RecordBatch.from_arrays([pa.array([f"n{i}" for i in range(2000)]), pa.array(vec, pa.list_(kind)),
+                                        pa.array([0] * 2000, pa.int32())], ["name", "vec", "s"])
+    rows = list(pairs._pack([batch]))
+    assert len(rows) == 1 and sum(c.nbytes for c in rows[0].columns) < 10 * 2000 * 150
