@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..llm.packing import pack, unpack
-from ..session import cut_lineage
+from ..session import cut_lineage, free_shuffles
 from .grid import (name_column, name_ranks, pair_table, parts_by_stripe, sides, stripe_count, stripe_pairs,
                    stripe_rounds, striped)
 
@@ -179,7 +179,7 @@ def _terms(x: pa.Table) -> list[pa.Array]:
 
 _STEP = 1 << 21     # shared entries at a time
 _LEVELS = 64        # ranks at which the norms of the more common terms are kept
-_ENTRIES = 4 << 20  # entries of a stripe, about
+_ENTRIES = 2 << 20  # entries of a stripe, about
 _HELD = 2 << 20     # entries that are packed together
 _CELLS = 8 << 20    # pairs of names that are looked at together
 
@@ -305,9 +305,8 @@ def _pairs_at_least(weights: DataFrame, t: float) -> DataFrame:
         found = stripe_pairs(packed, n, near).applyInArrow(
             _stripe_join(t), "left_side string, right_side string, s double")
         if len(rounds) > 1:
-            found = cut_lineage(found)  # its copies of the vectors go before the next ones are made
-            for _ in range(2):
-                found.sparkSession._jvm.System.gc()
+            found = cut_lineage(found)
+            free_shuffles(found.sparkSession)  # the copies of the vectors go before the next ones are made
         out = found if out is None else out.unionByName(found)
     return out
 

@@ -7,9 +7,11 @@ tests, the bench and command-line use only.
 
 from __future__ import annotations
 
+import gc
 import logging
 import os
 import tempfile
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,3 +81,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss); never a local checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of steps that nothing refers to any more removed
+    now.  Python's cycles hold the JVM's objects, so they go first; the JVM hears
+    of them a little later, and its cleaner works after a collection (measured:
+    without the pauses the files of two or three steps stay)."""
+    gc.collect()
+    for _ in range(2):
+        time.sleep(0.5)
+        spark._jvm.System.gc()
